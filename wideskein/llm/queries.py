@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm import exact_dedup, mixing, sharding, simhash, sketches
+from wideskein.llm import exact_dedup, langid, mixing, sharding, simhash, sketches
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(_read(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_virtual_slots, op3_exact_dedup, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op9_mix_sources)}
+    return {f.__name__: f for f in (op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
