@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm import exact_dedup, langid, mixing, sharding, simhash, sketches
+from wideskein.llm import exact_dedup, langid, mixing, sharding, simhash, sketches, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,12 +35,17 @@ def op7_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_edits(_read(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_read(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op9_mix_sources)}
+    return {f.__name__: f for f in (op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
