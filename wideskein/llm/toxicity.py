@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-Features are the lower-cased letter words of the whole text and their first 4 to 7 letters, as present or
-absent. Counts of (feature, label) over the labelled documents screen the features: those seen in at least
+Features are the lower-cased letter words of the whole text and their first 4 to 7 letters, each as present
+or absent, and once more as repeated (``+``) or not. Counts of (feature, label) over the labelled documents screen the features: those seen in at least
 ``LEAST_DOCS`` toxic documents, ``RATIO`` times as often as in clean ones, and most telling of them, ``FEATURES`` of them at most. A feature must also beat
 what chance gives among all features tested, by a log-likelihood margin of ``MARGIN``.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -37,6 +38,7 @@ FEATURES = 1024
 LEAST_DOCS = 4
 RATIO = 8
 MARGIN = 4.0
+LISTED = 300_000
 GRADES = 3
 REJECT = 0.5
 PREFIXES = range(4, 8)
@@ -53,56 +55,71 @@ def words(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
+def features_in(text: str | None, known: set[str] | None = None, memo: dict[str, list[str]] | None = None) -> list[str]:
+    """A text's features, or those whose plain form is in ``known``; ``memo`` keeps what is known of a word."""
+    counts: dict[str, int] = {}
+    memo = {} if memo is None else memo
+    if len(memo) > _MEMO:
+        memo.clear()
+    for w, n in Counter(words(text)).items():
+        hit = memo.get(w)
+        if hit is None:
+            hit = word_features(w)
+            if known is not None:
+                hit = memo[w] = [f for f in hit if f in known]
+        for f in hit:
+            counts[f] = counts.get(f, 0) + n
+    return [*counts, *(f + "+" for f, n in counts.items() if n > 1)]
+
+
+def _plain(names) -> set[str]:
+    return {f.rstrip("+") for f in names}
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
     thresholds: np.ndarray
     _memo: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self._known = _plain(self.weights)
+
     def evidence(self, text: str | None) -> float:
-        if len(self._memo) > _MEMO:
-            self._memo.clear()
-        memo, weights, found = self._memo, self.weights, set()
-        for w in set(words(text)):
-            hit = memo.get(w)
-            if hit is None:
-                hit = memo[w] = [f for f in word_features(w) if f in weights]
-            if hit:
-                found.update(hit)
-        return sum(weights[f] for f in sorted(found))
+        weights = self.weights
+        return sum(weights.get(f, 0.0) for f in sorted(features_in(text, self._known, self._memo)))
 
     def at_least(self, text: str | None) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..."""
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds - self.evidence(text), -50, 50)))
 
-    def __getstate__(self) -> dict:
-        return {"weights": self.weights, "thresholds": self.thresholds, "_memo": {}}
+    def __reduce__(self):
+        return Model, (self.weights, self.thresholds)
 
 
 def screen(labelled: DataFrame, features: int = FEATURES, least: int = LEAST_DOCS) -> tuple[list[tuple[str, int, int]], int, int]:
     """(feature, toxic documents, clean documents) of the most telling features, and how many documents of either kind there are. Counts cover all labelled documents."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 128):
-            f, y = [], []
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = {x for w in set(words(text)) for x in word_features(w)}
-                f.extend(seen)
-                y.extend([toxic] * len(seen))
-            yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(y, pa.int32())], names=["feature", "toxic"])
+    def listed(known: set[str] | None):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            memo: dict[str, list[str]] = {}
+            for batch in slices(batches, 128):
+                found = [f for text in batch.column(0).to_pylist() for f in features_in(text, known, memo)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["feature"])
+
+        return run
 
     sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return [], n1, n0
-    toxic = labelled.where("toxic = 1").select("text", "toxic").mapInArrow(run, "feature string, toxic int").groupBy("feature").agg(F.count(F.lit(1)).alias("n1"))
+    toxic = labelled.where("toxic = 1").select("text").mapInArrow(listed(None), "feature string").groupBy("feature").agg(F.count(F.lit(1)).alias("n1"))
     toxic = cut(toxic.where(F.col("n1") >= least), "toxic-features")
-    # Features of clean documents count only where a toxic document has them too; the wanted list is bounded by its size check.
-    wanted = toxic.select("feature")
     tested = toxic.count()
-    if tested <= 500_000:
-        wanted = F.broadcast(wanted)
-    clean = labelled.where("toxic = 0").select("text", "toxic").mapInArrow(run, "feature string, toxic int").join(wanted, "feature", "left_semi").groupBy("feature").agg(F.count(F.lit(1)).alias("n0"))
+    # Clean documents count only features that toxic ones have; up to LISTED of them their readers get the list.
+    known = _plain(toxic.select("feature").toPandas()["feature"]) if tested <= LISTED else None
+    clean = labelled.where("toxic = 0").select("text").mapInArrow(listed(known), "feature string")
+    clean = clean.join(toxic.select("feature"), "feature", "left_semi").groupBy("feature").agg(F.count(F.lit(1)).alias("n0"))
     both = toxic.join(clean, "feature", "left").na.fill(0, ["n0"])
     p1, p0 = (F.col("n1") + 0.5) / (n1 + 1.0), (F.col("n0") + 0.5) / (n0 + 1.0)
     gain = F.log(p1 / p0) * F.sqrt("n1")
@@ -139,21 +156,23 @@ def _fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, l1: float = 0.0001,
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Model:
     """Learn from the documents that ``labels`` (doc_id, toxic) covers."""
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where("toxic in (0, 1)")
-    labelled = docs.select("doc_id", F.col("text").cast("string")).join(y, "doc_id").select("doc_id", "text", "toxic")
+    labelled = docs.select("doc_id", F.col("text").cast("string")).join(y, "doc_id").select(F.col("doc_id").cast("long"), "toxic", "text")
     found, n1, n0 = screen(labelled, features)
     if not found:
         return Model({}, np.full(GRADES, 60.0))
     names = {f: i for i, (f, _, _) in enumerate(found)}
     strong = {f for f, a, b in found if (b + 0.5) / (n0 + 1) < 0.05 * (a + 0.5) / (n1 + 1)}
 
+    plain = _plain(names)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, list[str]] = {}
         for batch in slices(batches):
             at, hits = [], []
-            for text in batch.column(1).to_pylist():
-                listed = words(text)
-                at.append(sorted({names[f] for w in set(listed) for f in word_features(w) if f in names}))
-                hits.append(sum(1 for w in listed if any(f in strong for f in word_features(w))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(at, pa.list_(pa.int32())), pa.array(hits, pa.int64())], names=["doc_id", "toxic", "at", "hits"])
+            for text in batch.column(2).to_pylist():
+                at.append(sorted(names[f] for f in features_in(text, plain, memo) if f in names))
+                hits.append(sum(1 for w in words(text) if any(f in strong for f in word_features(w))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(hits, pa.int64())], names=["doc_id", "toxic", "at", "hits"])
 
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, sample / 2 / n1))).otherwise(F.lit(min(1.0, sample / 2 / n0)))
     picked = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < share * (1 << 30))
