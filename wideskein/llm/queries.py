@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm import exact_dedup, langid, mixing, sharding, simhash, sketches, toxicity
+from wideskein.llm import exact_dedup, langid, mixing, packing, sharding, simhash, sketches, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_pack_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"))
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.shard_documents(_read(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
@@ -45,7 +49,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources)}
+    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
