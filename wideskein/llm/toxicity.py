@@ -1,15 +1,15 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 Features are the lower-cased letter words of the whole text and their first 4 to 7 letters, each as present
-or absent, and once more as repeated (``+``) or not. Counts of (feature, label) over the labelled documents screen the features: those seen in at least
+or absent, and once more as repeated (``+``) or not. The model is learned from at most about ``SAMPLE`` labelled
+documents, half of them toxic where there are as many, picked by a hash of doc_id. Their counts screen the features: those seen in at least
 ``LEAST_DOCS`` toxic documents, ``RATIO`` times as often as in clean ones, and most telling of them, ``FEATURES`` of them at most. A feature must also beat
 what chance gives among all features tested, by a log-likelihood margin of ``MARGIN``.
 
 Labels say toxic or not; grades come from them: 0 for a clean document, and for a toxic one 1, 2 or 3 by how
 often its text uses features that hardly occur in clean labelled documents (up to once, up to three times,
 more). One weight vector is shared by the thresholds t1 < t2 < t3 of P(grade >= k) = sigmoid(w.x - t_k); it
-is fitted by proximal gradient steps with elastic-net penalties on at most about ``SAMPLE`` labelled
-documents, picked by a hash of doc_id. Severity is the expected grade, the sum of P(grade >= k) over k. A
+is fitted by proximal gradient steps with elastic-net penalties. Severity is the expected grade, the sum of P(grade >= k) over k. A
 document is toxic if P(grade >= 1) >= ``REJECT``.
 
 Defined cases. A null or empty text has no features and gets the score of none. Labels that are null, or
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from wideskein.llm.common import cut, slices
 
-SAMPLE = 12_000
+SAMPLE = 16_000
 FEATURES = 1024
 LEAST_DOCS = 4
 RATIO = 8
@@ -98,7 +98,7 @@ class Model:
 
 
 def screen(labelled: DataFrame, features: int = FEATURES, least: int = LEAST_DOCS) -> tuple[list[tuple[str, int, int]], int, int]:
-    """(feature, toxic documents, clean documents) of the most telling features, and how many documents of either kind there are. Counts cover all labelled documents."""
+    """(feature, toxic documents, clean documents) of the most telling features, and how many documents of either kind there are. """
 
     def listed(known: set[str] | None):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,11 @@ def _fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, l1: float = 0.0001,
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Model:
     """Learn from the documents that ``labels`` (doc_id, toxic) covers."""
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where("toxic in (0, 1)")
-    labelled = docs.select("doc_id", F.col("text").cast("string")).join(y, "doc_id").select(F.col("doc_id").cast("long"), "toxic", "text")
+    sizes = {r.toxic: r.n for r in y.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.when(F.col("toxic") == 1, F.lit(sample / 2 / sizes.get(1, 1))).otherwise(F.lit(sample / 2 / sizes.get(0, 1)))
+    picked = y.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < share * (1 << 30))
+    # The sample's bound holds for the labels sent to the scan and for the texts kept.
+    labelled = cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id"), "toxic-sample")
     found, n1, n0 = screen(labelled, features)
     if not found:
         return Model({}, np.full(GRADES, 60.0))
@@ -174,9 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
                 hits.append(sum(1 for w in words(text) if any(f in strong for f in word_features(w))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(hits, pa.int64())], names=["doc_id", "toxic", "at", "hits"])
 
-    share = F.when(F.col("toxic") == 1, F.lit(min(1.0, sample / 2 / n1))).otherwise(F.lit(min(1.0, sample / 2 / n0)))
-    picked = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < share * (1 << 30))
-    rows = picked.mapInArrow(run, "doc_id long, toxic int, at array<int>, hits long").toArrow().sort_by("doc_id")
+    rows = labelled.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, at array<int>, hits long").toArrow().sort_by("doc_id")
     x = np.zeros((len(rows), len(names)), dtype=np.float32)
     for i, at in enumerate(rows["at"].to_pylist()):
         x[i, at] = 1.0
