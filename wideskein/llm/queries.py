@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm import exact_dedup, langid, mixing, packing, sharding, simhash, sketches, toxicity
+from wideskein.llm import exact_dedup, langid, mixing, packing, recompression, secrets, sharding, simhash, sketches, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.kept_digests(_read(spark, sf_dir, "documents"))
+
+
 def op7_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_edits(_read(spark, sf_dir, "documents"))
 
@@ -48,8 +52,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_read(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents")).drop("features")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources)}
+    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op6_recompression, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
