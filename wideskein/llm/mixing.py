@@ -137,7 +137,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: whole texts once per full repeat, and the words of the extra blocks as a shorter text.
 
-    Rows with the same doc_id and size share a plan row when they are repeats of each other.
+    Repeated rows (same doc_id, source and size) share the plan of one of them. Documents that the mix takes nothing of are left out.
     """
     plan = mix_plan(docs, **options)
     names = ["_mix_start", "_mix_block", "_mix_blocks", "_mix_base", "_mix_extra", "_mix_factor", "_mix_offset"]
@@ -146,10 +146,12 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     joined = docs.withColumn("_mix_words", word_count()).join(
         once, F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_src")) & (F.col("_mix_words") == F.col("_mix_size"))
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    whole = joined.where("_mix_base > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_base")))).select(*columns)
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    joined = joined.withColumn("_mix_list", F.when(F.col("_mix_extra") > 0, words).otherwise(F.array().cast("array<string>")))
     picked = F.expr("filter(_mix_list, (w, i) -> pmod(((_mix_start + i) div _mix_block) * _mix_factor + _mix_offset, _mix_blocks) < _mix_extra)")
-    part = joined.where("_mix_extra > 0").withColumn("_mix_list", words).withColumn("_mix_part", picked).where("size(_mix_part) > 0")
-    short = part.select(*(F.array_join("_mix_part", " ").alias(c) if c == "text" else F.length(F.array_join("_mix_part", " ")).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
-    return whole.unionByName(short)
+    part = F.when(F.size(picked) > 0, F.array(F.array_join(picked, " "))).otherwise(F.array().cast("array<string>"))
+    whole = F.expr("array_repeat(text, cast(_mix_base as int))")
+    copies = joined.withColumn("_mix_texts", F.concat(whole, part)).select("*", F.posexplode("_mix_texts").alias("_mix_copy", "_mix_text"))
+    is_part = F.col("_mix_copy") >= F.col("_mix_base")
+    changed = {"text": F.col("_mix_text")} if "n_chars" not in docs.columns else {"text": F.col("_mix_text"), "n_chars": F.when(is_part, F.length("_mix_text").cast("long")).otherwise(F.col("n_chars"))}
+    return copies.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns))
