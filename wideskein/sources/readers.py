@@ -66,8 +66,10 @@ def good_rows(rows: DataFrame, timestamp: str | int | None = 0) -> DataFrame:
     if timestamp is None:
         return whole.select("file", "names", F.lit(None).cast("double").alias("ts"), "values")
     at = F.lit(timestamp + 1) if isinstance(timestamp, int) else F.array_position("names", timestamp).cast("int")
-    rest = lambda c: F.filter(c, lambda _, i: i + 1 != at)
-    return whole.select("file", rest("names").alias("names"), F.get("values", at - 1).alias("ts"), rest("values").alias("values"))
+    placed = whole.select("file", F.col("names").alias("_names"), F.col("values").alias("_values"), at.alias("_at"))
+    rest = lambda c: F.filter(c, lambda _, i: i + 1 != F.col("_at"))
+    ts = F.when(F.col("_at") > 0, F.get("_values", F.col("_at") - 1))
+    return placed.select("file", rest("_names").alias("names"), ts.alias("ts"), rest("_values").alias("values"))
 
 
 def column_form(rows: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -31,11 +31,13 @@ def load_arrivals(stream: DataFrame, table: str, quarantine: str, checkpoint: st
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
+        rows = rows.persist()
         valid = in_calendar(first, last)
         rows.where(~valid).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
         fresh = rows.where(valid).drop("source_file").withColumn("event_date", F.to_date("time"))
         held = _existing(spark, table, fresh)
         load_days(merged(held, fresh).drop("event_date"), table)
+        rows.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
