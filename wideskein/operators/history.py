@@ -89,3 +89,8 @@ def running_rows(df: DataFrame, batch: str) -> DataFrame:
 def metadata_fields(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, field, value) of a JSON object column."""
     return df.select(key, F.explode(F.from_json(column, "map<string,string>")).alias("field", "value"))
+
+
+def lineage(fingerprinted: DataFrame, pipeline_version: str, revision: str, batches: Sequence[str], path: str) -> DataFrame:
+    """One row per published data set: what made it, from which batches, where it lies, and its content fingerprint."""
+    return fingerprinted.select(F.lit(pipeline_version).alias("pipeline_version"), F.lit(revision).alias("revision"), F.lit(", ".join(batches)).alias("batches"), F.lit(path).alias("path"), "row_count", "content_fingerprint")

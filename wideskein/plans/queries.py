@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -525,6 +526,23 @@ def stream_new_files(spark, sf_dir):
     return _days(spark, f"{base}/table", rows)
 
 
+@query("SELECT count(*) AS n_rows, true AS files_written, true AS checksums_differ FROM lineitem")
+def write_metrics(spark, sf_dir):
+    """Rows counted while they are written, then the files' sizes and checksums."""
+    path = scratch(spark, "metrics")
+    made = sinks.observed_write(table(spark, sf_dir, "lineitem").repartition(3, "l_orderkey"), path, time.time(), time.time)
+    sizes, sums = sinks.file_sizes(spark, path), sinks.file_checksums(spark, path)
+    whole = sizes.join(sums, "file").where("file like '%.parquet'")
+    return whole.agg(F.lit(made["rows"]).cast("long").alias("n_rows"), (F.min("bytes") > 0).alias("files_written"), (F.count_distinct("sha256") == F.count("sha256")).alias("checksums_differ"))
+
+
+@query("""SELECT '1.0' AS pipeline_version, 'r1' AS revision, 'a, b' AS batches, 'events' AS path, count(*) AS row_count,
+ sha256('{"col_sum":[' || CAST(CAST(round(sum(CAST(value AS DECIMAL(28,6))), 4) AS DECIMAL(38,4)) AS VARCHAR) || '],"row_count":' || CAST(count(*) AS VARCHAR) || '}') AS content_fingerprint FROM events""")
+def lineage_row(spark, sf_dir):
+    cells = profiling.long_form(table(spark, sf_dir, "events"), ["value"])
+    return history.lineage(profiling.fingerprint(profiling.profile(cells, ["pos"])), "1.0", "r1", ["a", "b"], "events")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, (f, _) in REGISTRY.items()}
 
