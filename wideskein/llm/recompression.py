@@ -2,19 +2,20 @@
 
 In every round a document's sequence of symbols is compressed: runs, then left-right pairs, get names. A name is
 a hash of what it stands for and the same hash decides left or right, so the rounds name alike in all documents
-and need no exchange. Equal passages thus hold the same symbols inside, all but near their ends, and
-:func:`guarantees` says how many rounds leave every window a symbol boundary that its own words decide. Each
-window is represented by one such boundary, its anchor, named by the symbols around it; windows share anchors,
-so a document has about one anchor for four words.
+and need no exchange. Equal passages thus hold the same symbols inside, all but near their ends.
 
-1. One row per (anchor name, document); map-side minima and maxima tell which names more than one document has.
-2. The windows of those anchors, about as many as really repeat, are compared by 128-bit hashes of all their
-   words: smallest document per window, again by map-side minima.
-3. Windows that a smaller doc_id has too are gathered per document as ranges of words, and the words removed.
+1. Symbols after ``HIGH_ROUNDS`` rounds span about ten words. Each three in a row are named by 128 bits; where a
+   smaller doc_id has the same three, all windows inside repeat, and only ranges are kept of them. So long
+   repeats, copies and near copies cost a row for ten words.
+2. For the windows left, :func:`guarantees` says after how many rounds every window still holds a symbol boundary
+   that its own words decide. One such boundary, its anchor, represents the window; windows share anchors, so
+   there is about one for four words. Map-side minima and maxima tell which anchor names several documents have.
+3. The windows of those anchors are compared by 96-bit hashes of all their words: smallest document per window,
+   again by map-side minima. Windows that a smaller doc_id has too are gathered as ranges of words per document.
 
 Texts stay where they are read while what is sent to them is small: shared names up to ``BROADCAST_NAMES``, word
 ranges up to ``BROADCAST_RANGES``. Beyond that, names and ranges are grouped by document and joined with the
-texts by a shuffle; results are the same.
+texts by a shuffle; beyond it step 1 is left out, which saves work but decides nothing. Results are the same.
 
 Defined cases. A null text has no words and keeps the empty string; a text shorter than a window keeps all its
 words. A document with null doc_id is neither changed nor evidence. Repeated rows (same doc_id) are not evidence
@@ -27,16 +28,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_digest as digest
 
 from wideskein.llm.common import cut, slices
-from wideskein.llm.sketches import mix, word_hashes
+from wideskein.llm.sketches import mix
 
 WINDOW = 13
+HIGH_ROUNDS = 8
 BROADCAST_NAMES = 4_000_000
 BROADCAST_RANGES = 2_000_000
 
@@ -44,12 +48,12 @@ _LEFT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def guarantees(window: int) -> tuple[int, int]:
-    """Rounds of run and pair naming for windows of that many words, and the words on either side that decide a boundary.
+    """Rounds of run and pair naming for windows of that many words (two at least), and the words on either side that decide a boundary.
 
     After a round a symbol spans at most four times as many words. A boundary depends on ``reach`` words on
     either side; rounds go on while every window still holds a boundary that its own words decide.
     """
-    rounds, reach, longest, needs = 0, 0, 1, 1
+    rounds, reach, longest, needs = 0, 1, 1, 1
     while True:
         next_reach, next_longest = 2 * longest + needs, 4 * longest
         if window - 2 * next_reach + 1 < next_longest:
@@ -58,142 +62,241 @@ def guarantees(window: int) -> tuple[int, int]:
         rounds, reach, longest = rounds + 1, next_reach, next_longest
 
 
-def boundaries(words: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions of the symbol boundaries after so many rounds, and a hash of the two symbols that meet there.
+@dataclass
+class Symbols:
+    """Symbols of a batch of documents, one after the other."""
 
-    In each round a maximal run of exactly two equal symbols gets a name, then a pair of a left and a right
-    symbol does; a name is a hash of what it stands for, and the hash also says left or right, so all documents
-    name alike without being compared. (Longer runs stay apart: their extent isn't decided inside a window.)
-    """
-    names, starts = words, np.arange(len(words))
-    at, met = starts[1:], mix(names[:-1] * np.uint64(3) + names[1:])
-    for level in range(rounds):
-        equal = names[:-1] == names[1:]
-        padded = np.concatenate([[False], equal, [False]])
-        first = np.flatnonzero(equal & ~padded[:-2] & ~padded[2:])
-        names = names.copy()
-        names[first] = mix(names[first] + np.uint64(level + 1))
-        keep = np.ones(len(names), dtype=bool)
-        keep[first + 1] = False
-        names, starts = names[keep], starts[keep]
-        side = mix(names ^ (_LEFT * np.uint64(level + 1))) & np.uint64(1)
-        joined = (side[:-1] == 0) & (side[1:] == 1)
-        at, met = starts[1:][~joined], mix(names[:-1] * np.uint64(3) + names[1:])[~joined]
-        first = np.flatnonzero(joined)
-        fresh = mix(names[first] * np.uint64(5) + names[first + 1])
-        names = names.copy()
-        names[first] = fresh
-        keep = np.ones(len(names), dtype=bool)
+    doc: np.ndarray  # which document of the batch
+    start: np.ndarray  # position of the first word in the batch
+    name: np.ndarray
+    check: np.ndarray  # a second name, independent of the first
+
+    def joined_at(self, first: np.ndarray, name: np.ndarray, check: np.ndarray) -> Symbols:
+        """Symbols ``first`` and the ones after them become one, under a new name."""
+        names, checks, keep = self.name.copy(), self.check.copy(), np.ones(len(self.name), dtype=bool)
+        names[first], checks[first] = name, check
         keep[first + 1] = False
-        names, starts = names[keep], starts[keep]
-    return at, met
-
-
-def chained(words: np.ndarray, width: int) -> np.ndarray:
-    """A hash of every ``width`` consecutive words."""
-    if len(words) < width:
-        return np.empty(0, np.uint64)
-    total = np.zeros(len(words) - width + 1, dtype=np.uint64)
-    for i in range(width):
-        total = mix(total + words[i : i + len(total)])
-    return total
-
-
-def anchors(words: np.ndarray, window: int, rounds: int, reach: int) -> np.ndarray:
-    """For every window, the position of its anchor: of the boundaries that its own words decide, the one whose symbols hash least."""
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    rank = np.full(len(words) + 1, np.iinfo(np.uint64).max, dtype=np.uint64)
-    at, met = boundaries(words, rounds)
-    rank[at] = met
-    span = window - 2 * reach + 1
-    best, where = rank[reach : reach + n].copy(), np.zeros(n, dtype=np.int64)
-    for i in range(1, span):
-        other = rank[reach + i : reach + i + n]
-        less = other < best
-        best[less] = other[less]
-        where[less] = i
-    return np.arange(n) + reach + where
+        return Symbols(self.doc[keep], self.start[keep], names[keep], checks[keep])
+
+    def runs_named(self, level: int) -> Symbols:
+        """A maximal run of exactly two equal symbols gets a name. (The extent of longer ones isn't decided inside a window.)"""
+        equal = (self.name[:-1] == self.name[1:]) & (self.doc[:-1] == self.doc[1:])
+        around = np.concatenate([[False], equal, [False]])
+        first = np.flatnonzero(equal & ~around[:-2] & ~around[2:])
+        salt = np.uint64(level + 1)
+        return self.joined_at(first, mix(self.name[first] + salt), mix(self.check[first] + salt))
+
+    def pairs_named(self, level: int) -> Symbols:
+        """A left symbol and the right symbol after it get a name."""
+        side = mix(self.name ^ (np.uint64(int(_LEFT) * (level + 1) % 2**64))) & np.uint64(1)
+        first = np.flatnonzero((side[:-1] == 0) & (side[1:] == 1) & (self.doc[:-1] == self.doc[1:]))
+        return self.joined_at(first, _pair(self.name[first], self.name[first + 1]), _pair(self.check[first], self.check[first + 1]))
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * np.uint64(5) + b)
+
+
+class Batch:
+    """Hashed words of some texts, and what the rounds make of them."""
+
+    def __init__(self, texts: list[str]) -> None:
+        split = [_words(t) for t in texts]
+        self.counts = np.array([len(w) for w in split], dtype=np.int64)
+        self.ends = np.cumsum(self.counts)
+        self.firsts = self.ends - self.counts
+        self.words = np.frombuffer(b"".join([digest(w) for s in split for w in s]), dtype=">u8").astype(np.uint64)
+        self.doc = np.repeat(np.arange(len(texts)), self.counts)
+
+    def symbols(self) -> Symbols:
+        return Symbols(self.doc, np.arange(len(self.words)), self.words, mix(self.words ^ _LEFT))
+
+    def high(self, rounds: int) -> Symbols:
+        made = self.symbols()
+        for level in range(rounds):
+            made = made.runs_named(level).pairs_named(level)
+        return made
+
+    def triples(self, rounds: int, least: int) -> tuple[np.ndarray, ...]:
+        """name, check, doc, first word and word after the last of every three symbols in a row with ``least`` words at least."""
+        s = self.high(rounds)
+        if len(s.name) < 3:
+            return (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 3
+        after = np.append(s.start[1:], len(self.words))[2:]
+        same = (s.doc[:-2] == s.doc[2:]) & (after - s.start[:-2] >= least)
+        named = lambda x: _pair(_pair(x[:-2], x[1:-1]), x[2:])[same]
+        return named(s.name), named(s.check), s.doc[:-2][same], s.start[:-2][same], after[same]
+
+    def anchors(self, window: int, rounds: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of all windows and each one's anchor: of the boundaries that its own words decide, the one whose symbols hash least."""
+        n = len(self.words) - window + 1
+        if n <= 0:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        s = self.symbols()
+        at, met = s.start[1:], _pair(s.name[:-1], s.name[1:])
+        for level in range(rounds):
+            s = s.runs_named(level)
+            names, starts = s.name, s.start
+            s = s.pairs_named(level)
+            left = np.isin(starts[1:], s.start, assume_unique=True)
+            at, met = starts[1:][left], _pair(names[:-1], names[1:])[left]
+        rank = np.full(len(self.words) + 1, np.iinfo(np.uint64).max, dtype=np.uint64)
+        rank[at] = met
+        best, where = rank[reach : reach + n].copy(), np.zeros(n, dtype=np.int64)
+        for i in range(1, window - 2 * reach + 1):
+            other = rank[reach + i : reach + i + n]
+            less = other < best
+            best[less] = other[less]
+            where[less] = i
+        whole = np.flatnonzero(self.doc[:n] == self.doc[window - 1 :])
+        return whole, whole + reach + where[whole]
+
+    def chained(self, at: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
+        """A hash of the ``width`` words from each position."""
+        total = np.full(len(at), salt, dtype=np.uint64)
+        for i in range(width):
+            total = mix(total + self.words[at + i])
+        return total
+
+
+def _words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split()
+
+
+class Known:
+    """Triples that several documents have, with the smallest doc_id of each."""
+
+    def __init__(self, name: np.ndarray, check: np.ndarray, low: np.ndarray) -> None:
+        order = np.argsort(name, kind="stable")
+        self.name, self.check, self.low = name[order], check[order], low[order]
+
+    def ranges(self, batch: Batch, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """doc, first word and word after the last of the batch's triples that a smaller doc_id has too."""
+        name, check, doc, first, after = batch.triples(HIGH_ROUNDS, window)
+        if not len(name) or not len(self.name):
+            return doc[:0], first[:0], after[:0]
+        at = np.minimum(np.searchsorted(self.name, name), len(self.name) - 1)
+        hit = (self.name[at] == name) & (self.check[at] == check) & (self.low[at] < ids[doc])
+        return doc[hit], first[hit], after[hit]
+
+    def windows_left(self, batch: Batch, ids: np.ndarray, window: int, starts: np.ndarray) -> np.ndarray:
+        """Which of the windows at ``starts`` lie in no such range."""
+        _, first, after = self.ranges(batch, ids, window)
+        step = np.zeros(len(batch.words) + 2, dtype=np.int64)
+        np.add.at(step, first, 1)
+        np.add.at(step, after - window + 1, -1)
+        return np.cumsum(step)[starts] == 0
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string"))
 
 
-def _words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split()
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
 
-def _named(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of every window its anchor's name: the words around it that every window of the anchor holds."""
-    rounds, reach = guarantees(window)
-    at = anchors(words, window, rounds, reach)
-    wide = max(reach, 1)
-    return at, (chained(words, 2 * wide)[at - wide] if len(at) else np.empty(0, np.uint64))
+def shared_triples(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """name, check, low of every three high-level symbols that more than one document has."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            name, check, doc, _, _ = Batch(batch.column(2).to_pylist()).triples(HIGH_ROUNDS, window)
+            yield pa.RecordBatch.from_arrays([_signed(name), _signed(check), batch.column(0).take(pa.array(doc))], names=["name", "check", "doc_id"])
+
+    rows = _keyed(docs).mapInArrow(run, "name long, check long, doc_id long")
+    return rows.groupBy("name", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name", "check", "low")
 
 
-def anchor_names(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """name, doc_id, text_hash: each anchor name of a document once."""
+def _known_triples(docs: DataFrame, window: int, most: int):
+    """The shared triples as a broadcast value; none of them if there are more than ``most``."""
+    found = cut(shared_triples(docs, window), "repeat-triples")
+    if found.count() > most:
+        found = found.limit(0)
+    rows = found.toArrow()
+    columns = [rows[c].to_numpy().astype(np.int64) for c in ("name", "check", "low")]
+    return docs.sparkSession.sparkContext.broadcast(Known(columns[0].view(np.uint64), columns[1].view(np.uint64), columns[2]))
+
+
+def anchor_names(docs: DataFrame, known, window: int = WINDOW) -> DataFrame:
+    """name, doc_id, text_hash: each anchor name of a document's windows that no known triple covers."""
+    rounds, reach = guarantees(window)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, rows = [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                at, name = _named(word_hashes(_words(text)), window)
-                fresh = np.unique(name)
-                names.append(fresh)
-                rows.append(np.full(len(fresh), i))
-            at = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)], names=["name", "doc_id", "text_hash"])
+            b = Batch(batch.column(2).to_pylist())
+            starts, at = b.anchors(window, rounds, reach)
+            at = np.unique(at[known.value.windows_left(b, batch.column(0).to_numpy(), window, starts)])
+            name, doc = b.chained(at - reach, 2 * reach), b.doc[at]
+            order = np.lexsort((name, doc))
+            name, doc = name[order], doc[order]
+            fresh = np.ones(len(name), dtype=bool)
+            fresh[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
+            rows = pa.array(doc[fresh])
+            yield pa.RecordBatch.from_arrays([_signed(name[fresh]), batch.column(0).take(rows), batch.column(1).take(rows)], names=["name", "doc_id", "text_hash"])
 
     return _keyed(docs).mapInArrow(run, "name long, doc_id long, text_hash long")
 
 
-def _windows(window: int, shared=None):
-    """Over (doc_id, text_hash, text, names): 128-bit hash and start of every window whose anchor is shared; names null: the broadcast ones."""
+def _windows(window: int, known, shared=None):
+    """Over (doc_id, text_hash, text, names): hash and start of every window whose anchor is shared; names null: the broadcast ones.
+
+    Rows without a hash are ranges of known triples: start and after.
+    """
+    rounds, reach = guarantees(window)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 128):
-            one, two, start, row = [], [], [], []
-            texts, own = batch.column(2).to_pylist(), batch.column(3)
-            for i, text in enumerate(texts):
-                known = shared.value if shared is not None else np.sort(own[i].values.to_numpy().astype(np.int64))
-                words = word_hashes(_words(text))
-                _, name = _named(words, window)
-                if not len(name) or not len(known):
-                    continue
-                name = name.view(np.int64)
-                place = np.minimum(np.searchsorted(known, name), len(known) - 1)
-                hit = np.flatnonzero(known[place] == name)
-                if len(hit):
-                    one.append(chained(words, window)[hit])
-                    two.append(chained(words ^ np.uint64(0x5851F42D4C957F2D), window)[hit])
-                    start.append(hit)
-                    row.append(np.full(len(hit), i))
-            at = pa.array(np.concatenate(row) if row else np.empty(0, np.int64))
-            join = lambda x, kind: np.concatenate(x).view(kind) if x else np.empty(0, kind)
-            columns = [pa.array(join(one, np.int64)), pa.array(join(two, np.int64)), pa.array(join(start, np.int64).astype(np.int32)), batch.column(0).take(at), batch.column(1).take(at)]
-            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "start", "doc_id", "text_hash"])
+            ids = batch.column(0).to_numpy()
+            b = Batch(batch.column(2).to_pylist())
+            starts, at = b.anchors(window, rounds, reach)
+            left = known.value.windows_left(b, ids, window, starts)
+            starts, at = starts[left], at[left]
+            name = b.chained(at - reach, 2 * reach).view(np.int64)
+            if shared is not None:
+                names = shared.value
+                hit = names[np.minimum(np.searchsorted(names, name), len(names) - 1)] == name if len(names) else np.zeros(len(name), dtype=bool)
+            else:
+                hit, doc = np.zeros(len(name), dtype=bool), b.doc[starts]
+                for i, own in enumerate(batch.column(3)):
+                    mine = np.flatnonzero(doc == i)
+                    hit[mine] = np.isin(name[mine], own.values.to_numpy() if own.is_valid else [])
+            starts = starts[hit]
+            one, two = b.chained(starts, window), b.chained(starts, window, 77) >> np.uint64(32)
+            doc, first, after = known.value.ranges(b, ids, window)
+            rows = np.concatenate([b.doc[starts], doc])
+            none = pa.nulls(len(doc), pa.int64())
+            columns = [
+                pa.concat_arrays([_signed(one), none]),
+                pa.concat_arrays([pa.array(two.astype(np.uint32).view(np.int32)), pa.nulls(len(doc), pa.int32())]),
+                pa.array((np.concatenate([starts, first]) - b.firsts[rows]).astype(np.int32)),
+                pa.array((np.concatenate([starts + window, after]) - b.firsts[rows]).astype(np.int32)),
+                batch.column(0).take(pa.array(rows)),
+                batch.column(1).take(pa.array(rows)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "start", "after", "doc_id", "text_hash"])
 
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
-    """doc_id, text_hash, start of every window whose words also start in a document with a smaller doc_id."""
-    named = anchor_names(docs, window)
+def repeated_spans(docs: DataFrame, window: int = WINDOW, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
+    """doc_id, text_hash, start, after: spans of words that together hold every window also starting in a smaller doc_id, and no other."""
+    known = _known_triples(docs, window, broadcast_names // 2)
+    named = anchor_names(docs, known, window)
     ends = named.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = cut(ends.where("low < high").select("name"), "repeat-names")
-    schema = "w1 long, w2 long, start int, doc_id long, text_hash long"
+    schema = "w1 long, w2 int, start int, after int, doc_id long, text_hash long"
     if shared.count() <= broadcast_names:
-        known = docs.sparkSession.sparkContext.broadcast(np.sort(shared.toArrow()["name"].to_numpy()))
-        found = _keyed(docs).withColumn("names", F.lit(None).cast("array<bigint>")).mapInArrow(_windows(window, known), schema)
+        names = docs.sparkSession.sparkContext.broadcast(np.sort(shared.toArrow()["name"].to_numpy()))
+        found = _keyed(docs).withColumn("names", F.lit(None).cast("array<bigint>")).mapInArrow(_windows(window, known, names), schema)
     else:
         lists = named.join(shared, "name", "left_semi").groupBy("doc_id", "text_hash").agg(F.collect_set("name").alias("names"))
-        found = _keyed(docs).join(lists, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "names").mapInArrow(_windows(window), schema)
+        found = _keyed(docs).join(lists, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "text", "names").mapInArrow(_windows(window, known), schema)
     found = cut(found, "repeat-windows")
-    least = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("w1", "w2", "low")
-    return found.join(least, ["w1", "w2"]).where("low < doc_id").select("doc_id", "text_hash", "start")
+    windows = found.where("w1 is not null")
+    least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("w1", "w2", "low")
+    span = ["doc_id", "text_hash", "start", "after"]
+    return windows.join(least, ["w1", "w2"]).where("low < doc_id").select(*span).unionByName(found.where("w1 is null").select(*span))
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
@@ -203,16 +306,17 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, broadcast_names: int
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
             out = []
-            for i in range(batch.num_rows):
-                s = np.unique(batch.column(2)[i].values.to_numpy())
-                opens = np.concatenate([[True], np.diff(s) > window])
-                first, last = s[opens], s[np.append(np.flatnonzero(opens)[1:] - 1, len(s) - 1)]
-                out.append([{"first": int(a), "after": int(b) + window} for a, b in zip(first, last, strict=True)])
+            for spans in batch.column(2):
+                start, after = (spans.values.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+                order = np.argsort(start, kind="stable")
+                start, reached = start[order], np.maximum.accumulate(after[order])
+                opens = np.concatenate([[True], start[1:] > reached[:-1]])
+                out.append([{"first": int(a), "after": int(b)} for a, b in zip(start[opens], reached[np.append(np.flatnonzero(opens)[1:] - 1, len(start) - 1)], strict=True)])
             kind = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=["doc_id", "text_hash", "ranges"])
 
-    starts = repeated_windows(docs, window, broadcast_names).groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"))
-    return starts.mapInArrow(run, schema)
+    spans = repeated_spans(docs, window, broadcast_names).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "after")).alias("spans"))
+    return spans.mapInArrow(run, schema)
 
 
 def _with_ranges(docs: DataFrame, window: int, broadcast_names: int, broadcast_ranges: int) -> DataFrame:
