@@ -22,17 +22,22 @@ TELEMETRY = T.StructType(
 ALERTS = T.StructType([T.StructField(n, T.StringType()) for n in ("timestamp", "job_name", "step_name", "error", "status", "run_id", "resolved_at")])
 
 
+#: Headers of all files together up to this many characters are broadcast.
+BROADCAST_HEADERS = 64 << 20
+
+
 def tab_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """file, line of plain or compressed wide files; the codec goes by extension. A plain or bz2 file is read in splits."""
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    """file, line, block, row of plain or compressed wide files; the codec goes by extension. A plain or bz2 file is read in splits.
+
+    ``block`` is where the line's split begins; ``row`` rises along the lines of a split.
+    """
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
 def tab_headers(lines: DataFrame) -> DataFrame:
-    """file, names: each file's first line as column names (found in the split that starts the file)."""
-    spark = lines.sparkSession
-    files = [r.file for r in lines.select("file").distinct().collect()]
-    heads = [(f, r[0]) for f in files for r in spark.read.text(f).limit(1).collect()]
-    return spark.createDataFrame(heads, "file string, line string").select("file", F.col("line").alias("header"), tab_fields(F.col("line")).alias("names"))
+    """file, header, names: each file's first line, found in the split that begins the file, for all files in one job."""
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("line", "row").alias("header"))
+    return first.withColumn("names", tab_fields(F.col("header")))
 
 
 def wide_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -40,9 +45,13 @@ def wide_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     ``values`` is an array of doubles, null for fields that are no numbers. One tab at the end of a line is
     stripped. Files may differ in width; a row is checked against its own file's header by :func:`bad_rows`.
+    Headers are broadcast up to ``BROADCAST_HEADERS`` characters and joined by a shuffle beyond.
     """
     lines = tab_lines(spark, path)
-    joined = lines.join(F.broadcast(tab_headers(lines)), "file").where(F.col("line") != F.col("header"))
+    headers = tab_headers(lines)
+    if headers.agg(F.coalesce(F.sum(F.length("header")), F.lit(0))).first()[0] <= BROADCAST_HEADERS:
+        headers = F.broadcast(headers)
+    joined = lines.join(headers, "file").where(F.col("line") != F.col("header"))
     fields = joined.select("file", "names", tab_fields(F.col("line")).alias("fields"))
     return fields.select("file", "names", "fields", F.size("fields").alias("n_fields"), F.transform("fields", lambda v: v.try_cast("double")).alias("values"))
 

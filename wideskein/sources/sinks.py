@@ -25,10 +25,11 @@ def cast_copy(df: DataFrame, path: str, kind: str = "double") -> None:
 def load_days(df: DataFrame, path: str) -> None:
     """Replace the (day, flight) partitions that ``df`` has and leave all others; loading twice equals loading once.
 
-    Rows of a partition are sorted by time for row-group skipping. An empty frame changes nothing.
+    Rows of a partition are sorted by time for row-group skipping. An empty frame changes nothing. Rows are
+    rebalanced, not just dealt by key: Spark splits a day and flight that is too large for one task.
     """
     keyed = df.withColumn("event_date", F.to_date("time")).withColumn("flight_id", F.coalesce("flight_id", F.lit("")))
-    laid = keyed.repartition("event_date", "flight_id").sortWithinPartitions("event_date", "flight_id", "time")
+    laid = keyed.hint("rebalance", "event_date", "flight_id").sortWithinPartitions("event_date", "flight_id", "time")
     laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("event_date", "flight_id").parquet(path)
 
 
@@ -46,18 +47,18 @@ def add_column(df: DataFrame, name: str, kind: str, default: object) -> DataFram
 def query_layout(df: DataFrame, path: str) -> None:
     """By month, sorted by flight and time inside: what vehicle and week queries skip by."""
     keyed = df.withColumn("year_month", F.date_format("time", "yyyyMM"))
-    keyed.repartition("year_month").sortWithinPartitions("year_month", "flight_id", "time").write.mode("overwrite").option("compression", "zstd").partitionBy("year_month").parquet(path)
+    keyed.hint("rebalance", "year_month").sortWithinPartitions("year_month", "flight_id", "time").write.mode("overwrite").option("compression", "zstd").partitionBy("year_month").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
-    """CSV with header; ``bom`` puts the byte order mark before the first name."""
+    """One CSV file with header, so one task: for results that people open. ``bom`` puts the byte order mark before the first name."""
     first = df.columns[0]
     (df.withColumnRenamed(first, "﻿" + first) if bom else df).coalesce(1).write.csv(path, header=True)
 
 
 def export_per_flight(df: DataFrame, path: str) -> None:
     """One CSV folder per flight; rows without a flight are left out."""
-    df.where(F.trim("flight_id") != "").repartition("flight_id").write.partitionBy("flight_id").csv(path, header=True)
+    df.where(F.trim("flight_id") != "").hint("rebalance", "flight_id").write.partitionBy("flight_id").csv(path, header=True)
 
 
 def split_parts(df: DataFrame, path: str, parts: int) -> None:
