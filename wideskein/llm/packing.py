@@ -33,76 +33,81 @@ END_ID = 2
 GRAIN = 8
 VOCABULARY = "word_bpe_49k.json"
 #: Words and parts of words whose ids a Python worker keeps.
-_WORD_MEMO = 150_000
-_UNIT_MEMO = 300_000
+_WORD_MEMO = 300_000
+_UNIT_MEMO = 250_000
 
 
 #: Characters on which the splitter below and the vocabulary's agree for certain, and their lower-case splitter.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_SPECIAL = "<|endoftext|>"
+
+
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others as letters from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in plain}
+    for b in range(256):
+        letters.setdefault(b, chr(0x100 + len(letters) - len(plain)))
+    return [letters[b] for b in range(256)]
+
+
+_LETTERS = {b: c for b, c in enumerate(_byte_letters())}
 
 
 class WordIds:
     """Ids of texts, looked up by word, as little-endian bytes.
 
     The vocabulary's normaliser and splitter never join characters across ASCII white space, so the ids of a
-    text are those of its white-space words in order, and a word of plain characters is split further as the
-    vocabulary does. What isn't remembered yet is encoded together, with a special token between the parts. A
-    word that holds ``<|`` might hold a special token itself and is encoded alone.
+    text are those of its white-space words in order. A word of plain characters is split further, as the
+    vocabulary does, and its parts go to the vocabulary's model; other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(_SPECIAL)
+        self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
         self.units: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def _unit(self, unit: str) -> bytes:
+        letters = unit if unit.isascii() else unit.encode().decode("latin-1").translate(_LETTERS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
 
-    def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
         found: dict[bytes, bytes] = {}
-        parts: dict[bytes, list[str]] = {}
+        known, room = self.units, _UNIT_MEMO - len(self.units)
         for raw in missing:
             word = raw.decode("utf-8", "replace")
-            if "<|" in word:
-                found[raw] = self._encode(word).tobytes()
-            else:
-                parts[raw] = _UNITS.findall(word.lower()) if _PLAIN.fullmatch(word) else [word]
-        units, known = {}, self.units
-        fresh = sorted({u for p in parts.values() for u in p if u not in known})
-        for at in range(0, len(fresh), 1000):
-            chunk = fresh[at : at + 1000]
-            ids = self._encode(_SPECIAL.join(chunk))
-            stops = np.append(np.flatnonzero(ids == self.separator), len(ids))
-            start = 0
-            for unit, stop in zip(chunk, stops, strict=True):
-                units[unit] = ids[start:stop].tobytes()
-                start = stop + 1
-        if len(known) < _UNIT_MEMO:
-            known |= units
-        for raw, p in parts.items():
-            found[raw] = b"".join([units[u] if u in units else known[u] for u in p])
+            if "<|" in word or not _PLAIN.fullmatch(word):
+                found[raw] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                continue
+            parts = []
+            for unit in _UNITS.findall(word.lower()):
+                ids = known.get(unit)
+                if ids is None:
+                    ids = self._unit(unit)
+                    if room > 0:
+                        known[unit] = ids
+                        room -= 1
+                parts.append(ids)
+            found[raw] = b"".join(parts)
         return found
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
         known = self.words
-        missing = {w for s in split for w in s if w not in known}
-        found = self._learn(sorted(missing)) if missing else {}
+        parts = [list(map(known.get, s)) for s in split]
+        short = [i for i, p in enumerate(parts) if None in p]
+        missing = {w for i in short for w, ids in zip(split[i], parts[i], strict=True) if ids is None}
+        found = self._learn(missing) if missing else {}
+        for i in short:
+            parts[i] = [found[w] if ids is None else ids for w, ids in zip(split[i], parts[i], strict=True)]
         if len(known) < _WORD_MEMO:
             known |= found
-            get = known.__getitem__
-        else:
-            def get(w: bytes) -> bytes:
-                return known[w] if w in known else found[w]
-        out = [np.frombuffer(b"".join(map(get, s)), dtype="<u4") for s in split]
-        if len(known) >= _WORD_MEMO and len(missing) > 0.3 * sum(map(len, split)):  # another kind of text: learn anew
+        elif len(missing) > 0.3 * sum(map(len, split)):  # another kind of text: learn anew
             self.words, self.units = {}, {}
-        return out
+        return [np.frombuffer(b"".join(p), dtype="<u4") for p in parts]
 
 
 @lru_cache(maxsize=2)
