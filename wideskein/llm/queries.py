@@ -67,4 +67,18 @@ def oracle_sql() -> dict[str, str]:
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
         """,
+        "op6_recompression": r"""
+            WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+            spots AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i FROM split WHERE len(ws) >= 13),
+            windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM spots JOIN split USING (doc_id)),
+            firsts AS (SELECT g, min(doc_id) AS low FROM windows GROUP BY g),
+            covered AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN firsts USING (g) CROSS JOIN range(13) AS r(k) WHERE low < doc_id),
+            words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM split),
+            kept AS (
+                SELECT w.doc_id, count(c.i) AS n_removed, string_agg(w.word, ' ' ORDER BY w.i) FILTER (WHERE c.i IS NULL) AS t
+                FROM words w LEFT JOIN covered c ON w.doc_id = c.doc_id AND w.i = c.i GROUP BY w.doc_id
+            )
+            SELECT s.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+            FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+        """,
     }
