@@ -35,7 +35,7 @@ def load_arrivals(stream: DataFrame, table: str, quarantine: str, checkpoint: st
         valid = in_calendar(first, last)
         rows.where(~valid).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
         fresh = rows.where(valid).drop("source_file").withColumn("event_date", F.to_date("time"))
-        held = _existing(spark, table, fresh)
+        held = _existing(spark, table, fresh, f"{checkpoint}/_held")
         load_days(merged(held, fresh).drop("event_date"), table)
         rows.unpersist()
 
@@ -46,7 +46,7 @@ def merged(held: DataFrame | None, fresh: DataFrame) -> DataFrame:
     return (fresh if held is None else held.unionByName(fresh)).dropDuplicates()
 
 
-def _existing(spark: SparkSession, table: str, fresh: DataFrame) -> DataFrame | None:
+def _existing(spark: SparkSession, table: str, fresh: DataFrame, aside: str) -> DataFrame | None:
     """What the table already holds of the fresh rows' days and flights, written aside so that the table can be replaced."""
     try:
         held = spark.read.schema(fresh.schema).parquet(table)
@@ -55,7 +55,9 @@ def _existing(spark: SparkSession, table: str, fresh: DataFrame) -> DataFrame |
             raise
         return None
     touched = fresh.select("event_date", "flight_id").distinct()
-    return held.withColumn("flight_id", F.coalesce("flight_id", F.lit(""))).join(touched, ["event_date", "flight_id"], "left_semi").checkpoint()
+    kept = held.withColumn("flight_id", F.coalesce("flight_id", F.lit(""))).join(touched, ["event_date", "flight_id"], "left_semi").select(*fresh.columns)
+    kept.write.mode("overwrite").parquet(aside)
+    return spark.read.schema(fresh.schema).parquet(aside)
 
 
 def without_repeats(stream: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
