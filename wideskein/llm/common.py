@@ -15,10 +15,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or where that is unset (tests) a local one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("wideskein.shared.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.conf.set("wideskein.shared.dir", path)
     return path.rstrip("/")
 
 
