@@ -1,21 +1,22 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 Features are the lower-cased letter words of the whole text and their first 4 to 7 letters, each as present
-or absent, and once more as repeated (``+``) or not. The model is learned from at most about ``SAMPLE`` labelled
-documents, half of them toxic where there are as many, picked by a hash of doc_id. Their counts screen the features: those seen in at least
-``LEAST_DOCS`` toxic documents, ``RATIO`` times as often as in clean ones, and most telling of them, ``FEATURES`` of them at most. A feature must also beat
-what chance gives among all features tested, by a log-likelihood margin of ``MARGIN``.
+or absent, and once more as repeated (``+``) or not. The model is learned from at most about ``SAMPLE``
+labelled documents, half of them toxic where there are as many, picked by a hash of doc_id. Their counts
+screen the features: those in at least ``LEAST_DOCS`` toxic documents, ``RATIO`` times as often there as in
+clean ones, and beyond what chance gives among all features tested (a log-likelihood margin of ``MARGIN``);
+the ``FEATURES`` most telling ones at most.
 
 Labels say toxic or not; grades come from them: 0 for a clean document, and for a toxic one 1, 2 or 3 by how
 often its text uses features that hardly occur in clean labelled documents (up to once, up to three times,
 more). One weight vector is shared by the thresholds t1 < t2 < t3 of P(grade >= k) = sigmoid(w.x - t_k); it
-is fitted by proximal gradient steps with elastic-net penalties. Severity is the expected grade, the sum of P(grade >= k) over k. A
-document is toxic if P(grade >= 1) >= ``REJECT``.
+is fitted by proximal gradient steps with elastic-net penalties. Severity is the expected grade, the sum of
+P(grade >= k) over k. A document is toxic if P(grade >= 1) >= ``REJECT``.
 
 Defined cases. A null or empty text has no features and gets the score of none. Labels that are null, or
 whose document is missing, teach nothing; without a toxic and a clean label every document is clean with
 severity 0. Repeated rows are scored alike. A null doc_id is scored too. Extra columns are ignored by
-:func:`score` and kept by :func:`keep_clean`, which reserves names beginning with ``_tox_``.
+:func:`score` and pass through :func:`keep_clean`.
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ GRADES = 3
 REJECT = 0.5
 PREFIXES = range(4, 8)
 _WORDS = re.compile(r"[^\W\d_]+")
-_MEMO = 300_000
+#: Words whose features a Python worker keeps.
+_MEMO = 60_000
 
 
 def word_features(word: str) -> list[str]:
@@ -55,7 +57,7 @@ def words(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
-def features_in(text: str | None, known: set[str] | None = None, memo: dict[str, list[str]] | None = None) -> list[str]:
+def features_in(text: str | None, known: set[str] | None = None, memo: dict[str, tuple] | None = None) -> list[str]:
     """A text's features, or those whose plain form is in ``known``; ``memo`` keeps what is known of a word."""
     counts: dict[str, int] = {}
     memo = {} if memo is None else memo
@@ -66,7 +68,7 @@ def features_in(text: str | None, known: set[str] | None = None, memo: dict[str,
         if hit is None:
             hit = word_features(w)
             if known is not None:
-                hit = memo[w] = [f for f in hit if f in known]
+                hit = memo[w] = tuple(f for f in hit if f in known) or ()
         for f in hit:
             counts[f] = counts.get(f, 0) + n
     return [*counts, *(f + "+" for f, n in counts.items() if n > 1)]
@@ -102,7 +104,7 @@ def screen(labelled: DataFrame, features: int = FEATURES, least: int = LEAST_DOC
 
     def listed(known: set[str] | None):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo: dict[str, list[str]] = {}
+            memo: dict[str, tuple] = {}
             for batch in slices(batches, 128):
                 found = [f for text in batch.column(0).to_pylist() for f in features_in(text, known, memo)]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["feature"])
@@ -170,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     plain = _plain(names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, list[str]] = {}
+        memo: dict[str, tuple] = {}
         for batch in slices(batches):
             at, hits = [], []
             for text in batch.column(2).to_pylist():
@@ -203,8 +205,10 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model does not call toxic, all columns as they were; no shuffle."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def clean(text):
-        return text.map(lambda t: bool(held.value.at_least(t)[0] < REJECT)).astype(bool)
+    at = docs.columns.index("text")
 
-    return docs.where(clean(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([bool(held.value.at_least(t)[0] < REJECT) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
