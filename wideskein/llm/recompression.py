@@ -239,9 +239,9 @@ def anchor_names(docs: DataFrame, known, window: int = WINDOW) -> DataFrame:
 
 
 def _windows(window: int, known, shared=None):
-    """Over (doc_id, text_hash, text, names): hash and start of every window whose anchor is shared; names null: the broadcast ones.
+    """Over (doc_id, text_hash, text, names): hash and places of every window whose anchor is shared, once a document; names null: the broadcast ones.
 
-    Rows without a hash are ranges of known triples: start and after.
+    Rows without a hash are ranges of known triples.
     """
     rounds, reach = guarantees(window)
 
@@ -263,29 +263,36 @@ def _windows(window: int, known, shared=None):
                     hit[mine] = np.isin(name[mine], own.values.to_numpy() if own.is_valid else [])
             starts = starts[hit]
             one, two = b.chained(starts, window), b.chained(starts, window, 77) >> np.uint64(32)
-            doc, first, after = known.value.ranges(b, ids, window)
-            rows = np.concatenate([b.doc[starts], doc])
-            none = pa.nulls(len(doc), pa.int64())
+            doc = b.doc[starts]
+            order = np.lexsort((starts, two, one, doc))
+            one, two, doc, starts = one[order], two[order], doc[order], starts[order]
+            fresh = np.ones(len(starts), dtype=bool)
+            fresh[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (doc[1:] != doc[:-1])
+            heads = np.flatnonzero(fresh)
+            owner, first, after = known.value.ranges(b, ids, window)
+            rows = np.concatenate([doc[heads], owner])
+            spans = np.concatenate([doc, owner])
+            fields = [(np.concatenate(x) - b.firsts[spans]).astype(np.int32) for x in ((starts, first), (starts + window, after))]
+            edges = np.concatenate([heads, len(starts) + np.arange(len(owner) + 1)]).astype(np.int32)
             columns = [
-                pa.concat_arrays([_signed(one), none]),
-                pa.concat_arrays([pa.array(two.astype(np.uint32).view(np.int32)), pa.nulls(len(doc), pa.int32())]),
-                pa.array((np.concatenate([starts, first]) - b.firsts[rows]).astype(np.int32)),
-                pa.array((np.concatenate([starts + window, after]) - b.firsts[rows]).astype(np.int32)),
+                pa.concat_arrays([_signed(one[heads]), pa.nulls(len(owner), pa.int64())]),
+                pa.concat_arrays([pa.array(two[heads].astype(np.uint32).view(np.int32)), pa.nulls(len(owner), pa.int32())]),
+                pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["start", "after"])),
                 batch.column(0).take(pa.array(rows)),
                 batch.column(1).take(pa.array(rows)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "start", "after", "doc_id", "text_hash"])
+            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "spans", "doc_id", "text_hash"])
 
     return run
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
-    """doc_id, text_hash, start, after: spans of words that together hold every window also starting in a smaller doc_id, and no other."""
+    """doc_id, text_hash, spans (array of start, after) of words that together hold every window also starting in a smaller doc_id, and no other."""
     known = _known_triples(docs, window, broadcast_names // 2)
     named = anchor_names(docs, known, window)
     ends = named.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = cut(ends.where("low < high").select("name"), "repeat-names")
-    schema = "w1 long, w2 int, start int, after int, doc_id long, text_hash long"
+    schema = "w1 long, w2 int, spans array<struct<start:int,after:int>>, doc_id long, text_hash long"
     if shared.count() <= broadcast_names:
         names = docs.sparkSession.sparkContext.broadcast(np.sort(shared.toArrow()["name"].to_numpy()))
         found = _keyed(docs).withColumn("names", F.lit(None).cast("array<bigint>")).mapInArrow(_windows(window, known, names), schema)
@@ -295,8 +302,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, broadcast_names: int =
     found = cut(found, "repeat-windows")
     windows = found.where("w1 is not null")
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("w1", "w2", "low")
-    span = ["doc_id", "text_hash", "start", "after"]
-    return windows.join(least, ["w1", "w2"]).where("low < doc_id").select(*span).unionByName(found.where("w1 is null").select(*span))
+    # As a table of its own it leaves the join two plain shuffles, whose large partitions Spark splits.
+    least = cut(least, "repeat-least")
+    return windows.join(least, ["w1", "w2"]).where("low < doc_id").select("doc_id", "text_hash", "spans").unionByName(found.where("w1 is null").select("doc_id", "text_hash", "spans"))
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
@@ -315,7 +323,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, broadcast_names: int
             kind = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=["doc_id", "text_hash", "ranges"])
 
-    spans = repeated_spans(docs, window, broadcast_names).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "after")).alias("spans"))
+    spans = repeated_spans(docs, window, broadcast_names).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return spans.mapInArrow(run, schema)
 
 
