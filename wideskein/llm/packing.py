@@ -173,10 +173,10 @@ def generate_columns(demand: np.ndarray, sizes: np.ndarray, units: int, most_ste
     x = demand / fit
     slack = np.zeros(m, dtype=bool)  # basis columns that are surplus of a class, at no cost
     for step in range(most_steps):
-        if step % 100 == 99:
+        if step % 500 == 499:
             inverse = np.linalg.inv(basis)
             x = np.maximum(inverse @ demand, 0.0)
-        duals = (~slack).astype(np.float64) @ inverse
+        duals = inverse[~slack].sum(axis=0)
         negative = int(duals.argmin())
         if duals[negative] < -1e-9:
             entering, is_slack = np.zeros(m), True
@@ -186,7 +186,8 @@ def generate_columns(demand: np.ndarray, sizes: np.ndarray, units: int, most_ste
             if worth <= 1.0 + gap:
                 break
             entering, is_slack = pattern.astype(np.float64), False
-        direction = inverse @ entering
+        moved = np.flatnonzero(entering)  # few: plain sums, no threaded matrix product for so small a size
+        direction = (inverse[:, moved] * entering[moved]).sum(axis=1)
         ratios = np.full(m, np.inf)
         np.divide(x, direction, out=ratios, where=direction > 1e-9)
         leaving = int(ratios.argmin())
