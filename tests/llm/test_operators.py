@@ -227,6 +227,13 @@ def test_near_duplicates(spark, docs, rows):
     assert {r.doc_id for r in kept.collect()} == {x for x in least.values() if x is not None} | ({None} & set(least.values()))
 
 
+def test_near_copies_without_ids_are_decided_by_row(spark):
+    a, b, c = "red green blue black white", "one quite different clean text", "and another one of its own"
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (7, a), (7, "a clean row that shares its id")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (None, b), (None, c), (7, rows[-1][1])])
+
+
 @pytest.mark.parametrize(("dense", "hot_share"), [(4096, 512), (6, 512), (6, 3), (3, 10**9)])
 def test_links_of_dense_clusters(spark, dense, hot_share):
     rng = np.random.default_rng(4)

@@ -34,6 +34,10 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def text_hash(column: str = "text") -> Column:
+    return F.xxhash64(text_or_empty(column))
+
+
 def word_count(column: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -79,3 +83,25 @@ def slices(batches: Iterable, rows: int = 256) -> Iterator:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def keep_first(docs: DataFrame, grouped: DataFrame, most_broadcast: int, name: str) -> DataFrame:
+    """The rows of ``docs`` with one row of each group, all columns as they were.
+
+    ``grouped`` has doc_id, text_hash and group for every row. The row with the smallest (doc_id, text hash) stays,
+    null doc_ids last; of rows that agree in both any one. A row is found again by doc_id and text, so rows that
+    share a doc_id, or have none, are decided one by one. Names beginning with ``_near_`` are reserved.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    sizes = grouped.groupBy("group").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rows = grouped.groupBy("group", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_near_rows")).join(sizes, "group")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    rows = rows.withColumn("_near_kept", kept).where("not _near_kept or _near_rows > 1")
+    decided = cut(rows.select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_text"), "_near_kept"), name)
+    if decided.count() <= most_broadcast:
+        decided = F.broadcast(decided)
+    mine = docs.withColumn("_near_hash", text_hash())
+    named = mine.join(decided, F.col("_near_hash").eqNullSafe(F.col("_near_text")) & F.col("doc_id").eqNullSafe(F.col("_near_id")), "left")
+    single = named.where("_near_kept is null")
+    repeated = named.where("_near_kept").dropDuplicates(["_near_id", "_near_text"])
+    return single.unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wideskein.llm.common import cut, slices
+from wideskein.llm.common import cut, keep_first, slices, text_hash
 from wideskein.llm.components import components
 
 SHINGLE = 3
@@ -67,13 +67,13 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         prints = [fingerprint(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """doc_id, text_hash and fp, the fingerprint as a signed long."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash().alias("text_hash"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long")
 
 
 def _byte(fp: Column, position: int) -> Column:
@@ -210,24 +210,28 @@ def links(prints: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) ->
     return out.unionByName(star)
 
 
-def near_duplicates(docs: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) of every document."""
+def _grouped(docs: DataFrame, dense: int, hot_share: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_hash and fp of every row; fp, root (of its component) and component_id of every fingerprint."""
     rows = cut(fingerprints(docs), "simhash-rows")
     prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
     found = components(links(prints.select("fp"), dense, hot_share))
     named = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     grouped = cut(named.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-groups")
-    classes = named.select("fp", "root").join(grouped, "root").select("fp", "component_id")
+    return rows, named.select("fp", "root").join(grouped, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) of every document."""
+    rows, classes = _grouped(docs, dense, hot_share)
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` with one document of each group of near duplicates, the one with the smallest doc_id.
+def keep_one(docs: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of near duplicates, the one with the smallest doc_id.
 
-    Up to ``BROADCAST_IDS`` dropped ids are sent to the scan; beyond that both sides are shuffled by doc_id.
+    Rows are told apart by doc_id and text (:func:`common.keep_first`), so a group without ids keeps one row too.
+    Up to ``BROADCAST_IDS`` decisions are sent to the scan; beyond that both sides are shuffled.
     """
-    found = near_duplicates(docs, **options)
-    dropped = cut(found.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_near_id")), "simhash-dropped")
-    if dropped.count() <= BROADCAST_IDS:
-        dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_near_id")), "left_anti")
+    rows, classes = _grouped(docs, dense, hot_share)
+    grouped = rows.join(classes, "fp").select("doc_id", "text_hash", F.col("root").alias("group"))
+    return keep_first(docs, grouped, BROADCAST_IDS, "simhash-decided")
