@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from wideskein.llm import components, exact_dedup, langid, mixing, packing, recompression, secrets, sharding, simhash, sketches, toxicity
+from wideskein.llm import components, exact_dedup, langid, mixing, near_copies, packing, recompression, secrets, sharding, simhash, sketches, toxicity
 from wideskein.llm.common import gapless_position, running_total
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -234,6 +234,28 @@ def test_near_copies_without_ids_are_decided_by_row(spark):
     assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (None, b), (None, c), (7, rows[-1][1])])
 
 
+@pytest.mark.parametrize("dense", [2048, 3])
+def test_near_copies_of_five_word_shingles(spark, dense):
+    rng = np.random.default_rng(8)
+    rows = [(0, None), (1, ""), (2, " \t"), (3, "One two"), (4, "one TWO"), (None, "clean text without an id")]
+    for base in range(8):
+        made = [f"w{x}" for x in rng.integers(0, 4000, int(rng.integers(40, 300)))]
+        for _ in range(9):
+            copy = list(made)
+            for at in rng.integers(0, len(copy), int(rng.integers(1, 8))):
+                copy[at] = f"e{rng.integers(0, 10**6)}"
+            rows.append((100 * base + len(rows), " ".join(copy)))
+    cut5 = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    sets = {t: cut5((t or "").lower().split()) for _, t in rows}
+    alike = lambda a, b: sets[a] == sets[b] or 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
+    want = set()
+    for group in classes(list(sets), alike):
+        ids = [d for d, t in rows if t in group]
+        want.add(min((d for d in ids if d is not None), default=None))
+    kept = [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), dense=dense).collect()]
+    assert Counter(kept) == Counter(want) and 8 < len(want) < 70
+
+
 @pytest.mark.parametrize(("dense", "hot_share"), [(4096, 512), (6, 512), (6, 3), (3, 10**9)])
 def test_links_of_dense_clusters(spark, dense, hot_share):
     rng = np.random.default_rng(4)
