@@ -476,6 +476,14 @@ def test_mixed_texts_hold_what_the_plan_takes(spark, rows):
 # 10
 
 
+def test_coverage_takes_the_whole_candidate():
+    language = secrets.Language(np.zeros((28, 28)), frozenset({"word", "path", "parts", "art"}))
+    assert language.coverage("xpartsqwordword") == 13 / 15 and language.coverage("q" * 40) == 0
+    at = secrets.FEATURES.index("coverage")
+    for text, share in (("word/path/" * 26 + "q7Zx" * 135, 208 / 800), ("q7Zx" * 65 + "word" * 135, 540 / 800)):
+        assert language.features(text, "token = ", "", "")[at] == share
+
+
 def test_secret_scan(spark, rows):
     import random
 

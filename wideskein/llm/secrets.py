@@ -70,13 +70,16 @@ class Language:
 
     def coverage(self, text: str) -> float:
         """Share of the characters in the longest dictionary words that tile the text, three letters at least."""
-        low, n, best = text.lower(), len(text), [0] * (len(text) + 1)
+        low, n, best = text.lower(), len(text), [0] * 13
+        # ``best`` is a ring: the place of i holds the most characters covered of the first i, for the next twelve.
         for i in range(n):
-            best[i + 1] = max(best[i + 1], best[i])
+            here = best[i % 13]
+            best[i % 13] = 0
+            best[(i + 1) % 13] = max(best[(i + 1) % 13], here)
             for k in range(3, min(12, n - i) + 1):
                 if low[i : i + k] in self.words:
-                    best[i + k] = max(best[i + k], best[i] + k)
-        return best[n] / n
+                    best[(i + k) % 13] = max(best[(i + k) % 13], here + k)
+        return best[n % 13] / n
 
     def features(self, text: str, before: str, after: str, path: str) -> list[float]:
         c = _classes(text.encode())
@@ -94,7 +97,7 @@ class Language:
             sum(ch.isupper() for ch in text) / len(text),
             sum(a != b for a, b in zip(kind, kind[1:], strict=False)) / (len(text) - 1),
             float(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text) is not None),
-            self.coverage(text[:256]),
+            self.coverage(text),
             1.0 - len(set(text)) / len(text),
             float(bool(CREDENTIAL & set(near[-3:]))),
             float(lead.rstrip("\"'`").rstrip()[-1:] in ("=", ":")),
