@@ -306,7 +306,7 @@ def brute_kept(rows, window=13):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_names": 0, "broadcast_ranges": 0}])
+@pytest.mark.parametrize("limits", [{}, {"broadcast_triples": 0, "broadcast_names": 0, "broadcast_ranges": 0}])
 def test_repeated_windows_are_removed(spark, docs, rows, limits):
     got = Counter(map(tuple, recompression.kept_digests(docs, **limits).collect()))
     assert got == brute_kept(rows)
@@ -322,21 +322,25 @@ def test_repeats_of_other_widths_and_texts(spark, docs, rows):
         assert hashlib.sha256(b" ".join(words(r.text))).hexdigest() in by.values()
 
 
-def test_guarantees_hold():
-    assert recompression.guarantees(13) == (1, 3)
+def test_equal_words_have_equal_representatives():
     rng = np.random.default_rng(8)
-    for window in (13, 41):
-        rounds, reach = recompression.guarantees(window)
-        core = [f"w{x}" for x in rng.integers(0, 4, window)]
+    for window, vocabulary in ((13, 4), (13, 50), (41, 3)):
+        core = [f"w{x}" for x in rng.integers(0, vocabulary, window)]
         names = set()
         for _ in range(30):
-            left, right = ([f"w{x}" for x in rng.integers(0, 4, 20)] for _ in range(2))
-            b = recompression.Batch([" ".join(left + core + right)])
-            starts, at = b.anchors(window, rounds, reach)
-            names.add(int(at[starts == 20][0]) - 20)
+            left, right = ([f"w{x}" for x in rng.integers(0, vocabulary, 20)] for _ in range(2))
+            b = recompression.Batch([" ".join(left + core + right), " ".join(core), " ".join([*core, "w1"])])
+            starts = np.array([20, 40 + window, 40 + 2 * window])
+            names |= set(b.representatives(starts, window).tolist())
         assert len(names) == 1
 
 
+def test_runs_and_pairs_shrink_a_text():
+    b = recompression.Batch([" ".join(["so"] * 1000), " ".join(f"w{i % 9}" for i in range(3000)), "", "one"])
+    sizes = [len(b.high(r)) for r in range(12)]
+    assert sizes[0] == 4001 and sizes[1] < 3002 and all(x >= y for x, y in zip(sizes, sizes[1:], strict=False)) and sizes[8] < 500
+
+
 # 7
 
 
