@@ -14,9 +14,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or where that is unset (tests) a local one."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset, local mode (tests) gets a folder of its own; a cluster must set it."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("wideskein.shared.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("wideskein.shared.dir", path)
     return path.rstrip("/")
@@ -42,19 +44,24 @@ def word_count(column: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def bucket_count(rows: int, rows_per_bucket: int) -> int:
-    return max(1, -(-rows // rows_per_bucket))
+def bucket_count(rows: Column | int, rows_per_bucket: int = 2000) -> Column:
+    """How many hash buckets a group of that many rows is dealt into."""
+    rows = rows if isinstance(rows, Column) else F.lit(rows)
+    return F.greatest(F.lit(1), F.ceil(rows / rows_per_bucket)).cast("long")
 
 
-def gapless_position(df: DataFrame, group: str, order: list[str], out: str, rows: int, rows_per_bucket: int = 2000) -> DataFrame:
+def _dealt(df: DataFrame, order: list[str], buckets: Column) -> DataFrame:
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(*order), buckets))
+
+
+def gapless_position(df: DataFrame, group: str, order: list[str], out: str, buckets: Column) -> DataFrame:
     """Number the rows of each ``group`` from 0 without gaps, without gathering a group in one task.
 
-    A group is dealt into hash buckets; a row's number is the count of the group's earlier buckets plus
-    its rank in its own bucket, so a group of any size is ranked in pieces of about ``rows_per_bucket``.
+    A group is dealt into hash buckets (``buckets``, by its own size); a row's number is the count of the group's
+    earlier buckets plus its rank in its own bucket, so a group of any size is ranked in small pieces.
     ``group`` holds no nulls. Rows that agree in all of ``order`` are ranked in any order.
     """
-    buckets = bucket_count(rows, rows_per_bucket)
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    dealt = _dealt(df, order, buckets)
     counts = dealt.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
@@ -63,13 +70,12 @@ def gapless_position(df: DataFrame, group: str, order: list[str], out: str, rows
     return ranked.join(base, [group, "_bucket"]).withColumn(out, (F.col("_base") + F.col("_rank")).cast("long")).drop("_bucket", "_rank", "_base")
 
 
-def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str, rows: int, rows_per_bucket: int = 2000) -> DataFrame:
+def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str, buckets: Column) -> DataFrame:
     """Sum of ``value`` over the rows of the group before each row, in a fixed order that starts with a hash bucket.
 
     Buckets as in :func:`gapless_position`; ``group`` columns hold no nulls.
     """
-    buckets = bucket_count(rows, rows_per_bucket)
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    dealt = _dealt(df, order, buckets)
     sums = dealt.groupBy(*group, "_bucket").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select(*group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))

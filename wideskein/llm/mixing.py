@@ -5,9 +5,10 @@ is cut into blocks of equal tokens, and Sainte-Lague gives each source its block
 source its integer quota, always to the highest quotient. In a shard the source's documents lie end to end in
 seeded order; a seeded permutation of the shard's blocks says which ones are taken once more than the others.
 
-Only sums per (source, shard) reach the driver: ``MAX_SHARDS`` times the number of sources, which is a list
-that people write weights for. Documents are placed with bucketed running totals, so no source, however
-large, is gathered in one task.
+Only one sum per source reaches the driver (sources are a list that people write weights for); quotas of a
+source's shards, at most ``MAX_SHARDS``, are found in Spark. Documents are placed with bucketed running totals, so
+no source, however large, is gathered in one task. A block has ``MAX_BLOCK`` words, fewer in a corpus of less than
+100,000 such blocks; a source has a shard for ``ROWS_PER_SHARD`` documents of the corpus, ``MAX_SHARDS`` at most.
 
 Defined cases. A null text has size 0 and takes 0. A null source is a source of its own and comes last. A
 source with no words has target 0. Repeated rows are separate documents, laid side by side. An empty table
@@ -21,10 +22,11 @@ import heapq
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wideskein.llm.common import WORD, cut, running_total, word_count
+from wideskein.llm.common import WORD, bucket_count, cut, running_total, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -99,32 +101,35 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
     spark = docs.sparkSession
     keyed = docs.select("doc_id", "source", word_count().alias("size"))
     rows = cut(keyed.withColumn("_mix_null", F.col("source").isNull()).withColumn("_mix_source", F.coalesce("source", F.lit(""))), "mix-rows")
-    count = rows.count()
-    n_shards = max(1, min(MAX_SHARDS, count // ROWS_PER_SHARD))
+    place = ["_mix_null", "_mix_source", "_mix_shard"]
+    n_shards = max(1, min(MAX_SHARDS, rows.count() // ROWS_PER_SHARD))
     rows = rows.withColumn("_mix_shard", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(n_shards)).cast("int"))
-    sums = rows.groupBy("_mix_null", "_mix_source", "_mix_shard").agg(F.sum("size").alias("n")).collect()
-    sources = sorted({(r._mix_null, r._mix_source) for r in sums})
-    sizes = {s: 0 for s in sources}
-    for r in sums:
-        sizes[r._mix_null, r._mix_source] += r.n
-    total = sum(sizes.values())
-    targets = water_fill([sizes[s] for s in sources], [weights[i % len(weights)] for i in range(len(sources))], budget * total, max_repeat)
+    sums = cut(rows.groupBy(*place).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("_mix_rows")), "mix-sums")
+    found = sorted((r._mix_null, r._mix_source, r.n) for r in sums.groupBy("_mix_null", "_mix_source").agg(F.sum("n").alias("n")).collect())
+    sizes = [n for *_, n in found]
+    total = sum(sizes)
+    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))], budget * total, max_repeat)
     block = max(1, min(MAX_BLOCK, total // 100_000))
-    seats = sainte_lague(targets, round(sum(targets) / block), [max_repeat * -(-sizes[s] // block) for s in sources])
-    plan = []
-    for i, s in enumerate(sources):
-        shards = sorted((r._mix_shard, r.n) for r in sums if (r._mix_null, r._mix_source) == s)
-        blocks = [-(-n // block) for _, n in shards]
-        quotas = sainte_lague([float(n) for _, n in shards], seats[i], [max_repeat * b for b in blocks])
-        for (shard, _), b, quota in zip(shards, blocks, quotas, strict=True):
-            factor, offset = _permutation(b, seed + 31 * i + 1009 * shard)
-            plan.append((*s, shard, sizes[s], targets[i], b, quota // b if b else 0, quota % b if b else 0, factor, offset))
-    schema = "_mix_null boolean, _mix_source string, _mix_shard int, source_size long, target double, _mix_blocks long, _mix_base long, _mix_extra long, _mix_factor long, _mix_offset long"
-    table = spark.createDataFrame(plan, schema)
-    placed = running_total(rows, ["_mix_null", "_mix_source", "_mix_shard"], ["doc_id", "size"], "size", "_mix_start", count)
-    if len(plan) <= 100_000:
+    seats = sainte_lague(targets, round(sum(targets) / block), [max_repeat * -(-n // block) for n in sizes])
+    planned = [(null, source, i, n, targets[i], seats[i]) for i, (null, source, n) in enumerate(found)]
+    planned = spark.createDataFrame(planned, "_mix_null boolean, _mix_source string, _mix_rank long, source_size long, target double, _mix_seats long")
+
+    def quotas(shards: pd.DataFrame) -> pd.DataFrame:
+        """The at most ``MAX_SHARDS`` shards of a source with their blocks to take."""
+        shards = shards.sort_values("_mix_shard")
+        blocks = [-(-n // block) for n in shards["n"].tolist()]
+        got = sainte_lague([float(n) for n in shards["n"]], int(shards["_mix_seats"].iloc[0]), [max_repeat * b for b in blocks])
+        key = 31 * int(shards["_mix_rank"].iloc[0]) + seed
+        turned = [_permutation(b, key + 1009 * shard) for b, shard in zip(blocks, shards["_mix_shard"].tolist(), strict=True)]
+        return shards[[*place, "_mix_rows", "source_size", "target"]].assign(
+            _mix_blocks=blocks, _mix_base=[q // b if b else 0 for q, b in zip(got, blocks, strict=True)], _mix_extra=[q % b if b else 0 for q, b in zip(got, blocks, strict=True)], _mix_factor=[f for f, _ in turned], _mix_offset=[o for _, o in turned]
+        )
+
+    schema = "_mix_null boolean, _mix_source string, _mix_shard int, _mix_rows long, source_size long, target double, _mix_blocks long, _mix_base long, _mix_extra long, _mix_factor long, _mix_offset long"
+    table = cut(sums.join(planned, ["_mix_null", "_mix_source"]).groupBy("_mix_null", "_mix_source").applyInPandas(quotas, schema), "mix-quotas")
+    if len(found) * n_shards <= 100_000:
         table = F.broadcast(table)
-    placed = placed.join(table, ["_mix_null", "_mix_source", "_mix_shard"]).withColumn("_mix_block", F.lit(block).cast("long"))
+    placed = running_total(rows.join(table, place), place, ["doc_id", "size"], "size", "_mix_start", bucket_count(F.col("_mix_rows"))).withColumn("_mix_block", F.lit(block).cast("long"))
     extra = F.expr(
         """CASE WHEN size = 0 OR _mix_extra = 0 THEN 0L ELSE aggregate(
              sequence(_mix_start div _mix_block, (_mix_start + size - 1) div _mix_block), 0L,

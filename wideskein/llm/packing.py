@@ -16,6 +16,7 @@ Very long texts are tokenised in whole. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
@@ -26,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wideskein.llm.common import cut, gapless_position, slices, text_or_empty
+from wideskein.llm.common import bucket_count, cut, gapless_position, slices, text_or_empty
 
 CAPACITY = 4096
 END_ID = 2
 GRAIN = 8
 VOCABULARY = "word_bpe_49k.json"
+#: Pivots after which the basis is inverted anew.
+REFRESH = 1000
 #: Words and parts of words whose ids a Python worker keeps.
 _WORD_MEMO = 300_000
 _UNIT_MEMO = 250_000
@@ -139,68 +142,135 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-def best_pattern(values: np.ndarray, sizes: np.ndarray, units: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack by dynamic programming over room: items of ascending ``sizes`` worth ``values``."""
+def best_patterns(values: np.ndarray, sizes: np.ndarray, units: int) -> tuple[float, np.ndarray]:
+    """Unbounded knapsack by dynamic programming over room: items of ascending ``sizes`` worth ``values``.
+
+    The worth of the best pattern, and for every class the best pattern that holds it, best first (rows).
+    """
     worth, chosen = np.zeros(units + 1), np.full(units + 1, -1)
+    fits = np.searchsorted(sizes, np.arange(units + 1), side="right").tolist()
     for room in range(1, units + 1):
         worth[room] = worth[room - 1]
-        k = int(np.searchsorted(sizes, room, side="right"))
+        k = fits[room]
         if k:
             totals = values[:k] + worth[room - sizes[:k]]
             i = int(totals.argmax())
             if totals[i] > worth[room] + 1e-12:
                 worth[room], chosen[room] = totals[i], i
-    pattern, room = np.zeros(len(values), dtype=np.int64), units
-    while room > 0:
-        if chosen[room] < 0:
-            room -= 1
-        else:
-            pattern[chosen[room]] += 1
-            room -= int(sizes[chosen[room]])
-    return float(worth[units]), pattern
+    order = np.argsort(-(values + worth[units - sizes]), kind="stable")
+    patterns, room = np.zeros((len(sizes), len(sizes)), dtype=np.int64), units - sizes[order]
+    patterns[np.arange(len(order)), order] = 1
+    open_rows = np.flatnonzero(room > 0)
+    while len(open_rows):
+        item = chosen[room[open_rows]]
+        taken = item >= 0
+        patterns[open_rows[taken], item[taken]] += 1
+        room[open_rows] -= np.where(taken, sizes[np.maximum(item, 0)], 1)
+        open_rows = open_rows[room[open_rows] > 0]
+    return float(worth[units]), patterns
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination with pivoting, in plain array operations: linear algebra libraries start threads, which the driver must not wait for."""
+    m = len(matrix)
+    both = np.hstack([matrix, np.eye(m)])
+    for i in range(m):
+        pivot = i + int(np.abs(both[i:, i]).argmax())
+        if pivot != i:
+            both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factors = both[:, i].copy()
+        factors[i] = 0.0
+        rows = np.flatnonzero(factors)
+        both[rows] -= factors[rows, None] * both[i]
+    return both[:, m:]
+
+
+def filled_in_turn(demand: np.ndarray, sizes: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
+    """A basis to start from, and its amounts: sequences filled with the largest classes left, each pattern as often as the first class it uses up allows.
+
+    A pattern holds no class used up before, so that the basis is triangular.
+    """
+    m, left = len(demand), demand.astype(np.float64)
+    basis, x = np.zeros((m, m)), np.zeros(m)
+    open_classes = np.flatnonzero(left > 0)[::-1].tolist()
+    for i in np.flatnonzero(left <= 0):
+        basis[i, i] = units // sizes[i]
+    while open_classes:
+        room, column = units, np.zeros(m)
+        for i in open_classes:
+            column[i] = room // sizes[i]
+            room -= int(column[i]) * int(sizes[i])
+            if not room:
+                break
+        held = np.flatnonzero(column)
+        ratios = left[held] / column[held]
+        first = int(held[ratios.argmin()])
+        x[first] = ratios.min()
+        left[held] = np.maximum(left[held] - x[first] * column[held], 0.0)
+        basis[:, first] = column
+        open_classes.remove(first)
+    return basis, x
 
 
-def generate_columns(demand: np.ndarray, sizes: np.ndarray, units: int, most_steps: int = 3000, gap: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def generate_columns(demand: np.ndarray, sizes: np.ndarray, units: int, most_steps: int = 20_000, gap: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (one a column) and their amounts: the linear program min sum(x), patterns . x >= demand, by revised simplex.
 
-    Each step is one pivot: duals from the basis inverse, the entering pattern from the knapsack. It ends when no
-    pattern is worth more than 1 + ``gap``, which bounds what is lost against the optimum by that share.
+    The duals of the basis price the classes; the knapsack gives the patterns worth more than 1, and pivots go on
+    among those known until none is worth more. It ends when the solution is within ``gap`` of a lower bound: what
+    the items fill, or the solution divided by the worth of the best pattern. Should it need more than ``most_steps``
+    pivots, the patterns found so far are used, with a warning; they pack everything too.
     """
     m = len(demand)
-    fit = units // sizes
-    basis = np.diag(fit.astype(np.float64))
-    inverse = np.diag(1.0 / fit)
-    x = demand / fit
+    basis, x = filled_in_turn(demand, sizes, units)
+    inverse = _inverse(basis)
     slack = np.zeros(m, dtype=bool)  # basis columns that are surplus of a class, at no cost
-    for step in range(most_steps):
-        if step % 500 == 499:
-            inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ demand, 0.0)
+    pool = np.zeros((0, m))
+    steps, since, filled = 0, 0, float((demand * sizes).sum()) / units
+    while steps < most_steps and x[~slack].sum() > (1.0 + gap) * filled:
         duals = inverse[~slack].sum(axis=0)
-        negative = int(duals.argmin())
-        if duals[negative] < -1e-9:
-            entering, is_slack = np.zeros(m), True
-            entering[negative] = -1.0
-        else:
-            worth, pattern = best_pattern(np.maximum(duals, 0.0), sizes, units)
-            if worth <= 1.0 + gap:
+        worth, found = best_patterns(np.maximum(duals, 0.0), sizes, units)
+        negative = duals.min() < -1e-9
+        if worth <= 1.0 + gap and not negative:
+            break
+        pool = np.vstack([pool[-2 * m :], found.astype(np.float64)])
+        moved = False
+        while steps < most_steps and x[~slack].sum() > (1.0 + gap) * filled:
+            duals = inverse[~slack].sum(axis=0)
+            lowest = int(duals.argmin())
+            if duals[lowest] < -1e-9:
+                entering, is_slack = np.zeros(m), True
+                entering[lowest] = -1.0
+            else:
+                prices = (pool * duals).sum(axis=1)
+                best = int(prices.argmax())
+                if prices[best] <= 1.0 + gap / 2:
+                    break
+                entering, is_slack = pool[best], False
+            held = np.flatnonzero(entering)
+            direction = (inverse[:, held] * entering[held]).sum(axis=1)
+            ratios = np.full(m, np.inf)
+            np.divide(x, direction, out=ratios, where=direction > 1e-9)
+            leaving = int(ratios.argmin())
+            if not np.isfinite(ratios[leaving]):
                 break
-            entering, is_slack = pattern.astype(np.float64), False
-        moved = np.flatnonzero(entering)  # few: plain sums, no threaded matrix product for so small a size
-        direction = (inverse[:, moved] * entering[moved]).sum(axis=1)
-        ratios = np.full(m, np.inf)
-        np.divide(x, direction, out=ratios, where=direction > 1e-9)
-        leaving = int(ratios.argmin())
-        if not np.isfinite(ratios[leaving]):
+            theta = ratios[leaving]
+            x = np.maximum(x - theta * direction, 0.0)
+            x[leaving] = theta
+            basis[:, leaving] = entering
+            slack[leaving] = is_slack
+            row = inverse[leaving] / direction[leaving]
+            rows = np.flatnonzero(direction)
+            inverse[rows] -= direction[rows, None] * row
+            inverse[leaving] = row
+            steps, since, moved = steps + 1, since + 1, True
+            if since == REFRESH:
+                inverse, since = _inverse(basis), 0
+                x = np.maximum((inverse * demand).sum(axis=1), 0.0)
+        if not moved:
             break
-        theta = ratios[leaving]
-        x = np.maximum(x - theta * direction, 0.0)
-        x[leaving] = theta
-        basis[:, leaving] = entering
-        slack[leaving] = is_slack
-        row = inverse[leaving] / direction[leaving]
-        inverse = inverse - np.outer(direction, row)
-        inverse[leaving] = row
+    if steps >= most_steps:
+        warnings.warn(f"column generation ended after {most_steps} pivots; the best pattern was worth {worth:.4f}", stacklevel=2)
     keep = ~slack & (x > 1e-9)
     return basis[:, keep].astype(np.int64), x[keep]
 
@@ -259,11 +329,12 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataF
             slots.append((i, given[i], given[i] + times * each, each, first))
             given[i] += times * each
         first += times
-    total = whole + sum(histogram)
     order = ["doc_id", "start", "length", "ids_crc32"]
     full = classed.where(F.col("length") == capacity).withColumn("class", F.lit(0))
-    full = gapless_position(full, "class", order, "sequence_id", total).withColumn("offset", F.lit(0).cast("long"))
-    part = gapless_position(classed.where(F.col("length") < capacity), "class", order, "rank", total)
+    full = gapless_position(full, "class", order, "sequence_id", bucket_count(whole)).withColumn("offset", F.lit(0).cast("long"))
+    sizes = spark.createDataFrame([(i, n) for i, n in enumerate(histogram) if n] or [(-1, 0)], "class int, rows long")
+    part = classed.where(F.col("length") < capacity).join(F.broadcast(sizes), "class")  # a row per class
+    part = gapless_position(part, "class", order, "rank", bucket_count(F.col("rows")))
     table = spark.createDataFrame(slots or [(-1, 0, 0, 1, 0)], "class int, low long, high long, each long, first long")
     # The table has at most a few patterns per class, whatever the number of documents.
     placed = part.join(F.broadcast(table), "class").where("rank >= low and rank < high").withColumn("sequence_id", F.expr("first + (rank - low) div each"))

@@ -1,23 +1,27 @@
 """Sharding through fixed virtual slots.
 
 A record hashes into one of ``SLOTS`` virtual slots. Bytes are summed per slot (at most ``SLOTS`` rows, so
-they fit the driver at any corpus size), and a versioned map says which shard holds each slot. Rebalancing
-edits the map: a new version moves whole slots, never single records.
-
-Defined cases. A null text has no bytes and a record's size is its UTF-8 bytes plus 8. A null doc_id hashes
-like a value of its own. Repeated rows go to the same slot and are numbered one after the other. An empty
-table gives an empty result and a map that deals slots round robin. Other columns are ignored.
+they fit the driver at any corpus size), and a versioned map says which shard holds each slot. The map is a table
+beside the shards: :func:`store` adds a version, :func:`stored` reads all of them. Rebalancing edits the newest
+version: it moves whole slots, never single records.
+
+Defined cases. A null text has no bytes and a record's size is its UTF-8 bytes plus 8. A record without
+doc_id is hashed by its text, so that many of them spread. Repeated rows go to the same slot and are numbered one
+after the other. An empty table gives an empty result and a map that deals slots round robin. Other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm.common import cut, gapless_position, text_or_empty
+from wideskein.llm.common import bucket_count, cut, gapless_position, shared_dir, text_or_empty
 
 SLOTS = 8192
 SEED = 17
@@ -89,7 +93,7 @@ class SlotMap:
             held[low][slot] = size
             owner[slot] = low
             load[full], load[low] = load[full] - size, load[low] + size
-        return SlotMap(self.n_shards, [*self.versions, owner])
+        return self if owner == self.current else SlotMap(self.n_shards, [*self.versions, owner])
 
     def table(self, spark: SparkSession) -> DataFrame:
         """All versions as rows (version, virtual_slot, shard), to be stored beside the shards."""
@@ -112,7 +116,7 @@ def slotted(docs: DataFrame, slots: int = SLOTS, seed: int = SEED) -> DataFrame:
         "doc_id",
         (F.octet_length(text).cast("long") + 8).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(text, F.lit(seed))).otherwise(F.xxhash64("doc_id", F.lit(seed))), F.lit(slots)).cast("int").alias("virtual_slot"),
     )
 
 
@@ -126,11 +130,46 @@ def assign(rows: DataFrame, slot_map: SlotMap) -> DataFrame:
     spark = rows.sparkSession
     owner = spark.createDataFrame(list(enumerate(slot_map.current)), "virtual_slot int, shard int")
     placed = rows.join(F.broadcast(owner), "virtual_slot")
-    return gapless_position(placed, "shard", ["doc_id", "size", "text_crc32"], "slot", rows.count())
+    return gapless_position(placed, "shard", ["doc_id", "size", "text_crc32"], "slot", bucket_count(-(-rows.count() // slot_map.n_shards)))
+
+
+def store(spark: SparkSession, slot_map: SlotMap, path: str) -> None:
+    """Add the versions of the map that ``path`` doesn't hold yet, one file each; stored versions are never changed."""
+    try:
+        held = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = 0
+    slot_map.table(spark).where(F.col("version") > held).coalesce(1).write.mode("append").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> SlotMap:
+    return SlotMap.load(spark.read.parquet(path))
+
 
+def shard_documents(docs: DataFrame, n_shards: int = 24, path: str | None = None) -> tuple[DataFrame, SlotMap]:
+    """Every record with its shard and place in the shard, and the map that decided it, which is read back from where it was stored.
 
-def shard_documents(docs: DataFrame, n_shards: int = 24) -> tuple[DataFrame, SlotMap]:
-    """Every record with its shard and place in the shard, and the map that decided it."""
+    ``path`` holds the map (a new folder in the shared one by default). A map that is there already goes on to be
+    used: with a shard more it grows, else it is rebalanced if the fullest shard is over the mean by 1 % or more.
+    """
+    spark = docs.sparkSession
     rows = cut(slotted(docs), "shard-rows")
-    slot_map = SlotMap.balanced(slot_bytes(rows), n_shards)
+    sizes = slot_bytes(rows)
+    if path is None:
+        path = f"{shared_dir(spark)}/wideskein/slot-map-{uuid.uuid4().hex}"
+        slot_map = SlotMap.balanced(sizes, n_shards)
+    else:
+        try:
+            slot_map = stored(spark, path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            slot_map = SlotMap.balanced(sizes, n_shards)
+        while slot_map.n_shards < n_shards:
+            slot_map = slot_map.grow(sizes)
+        slot_map = slot_map.rebalance(sizes)
+    store(spark, slot_map, path)
+    slot_map = stored(spark, path)
     return assign(rows, slot_map), slot_map
