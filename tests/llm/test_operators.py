@@ -406,6 +406,20 @@ def test_edits_and_neighbours(spark, rows):
     assert all(len(s) == 1 for s in same.values())
 
 
+def test_hot_and_missing_ids_are_split_into_ranges(spark, docs, monkeypatch):
+    monkeypatch.setattr(sketches, "RANGE_BYTES", 400)
+    rows = [(None if i % 3 == 0 else 77 if i % 3 == 1 else i, f"text {i} " + "w " * (i % 40)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"tie": F.lit(0), "range": F.lit("x"), "guest": F.lit(5)})
+    sizes = Counter(r.range for r in sketches._ranged(df)[0].collect())
+    assert max(sizes.values()) < 60 and len(sizes) > 20
+    tie = {r.text: r.tie for r in sketches._ranged(df)[0].collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), tie[r[1]]))
+    got = Counter((r.doc_id, r.edited_sha256) for r in sketches.fingerprint_edits(df).collect())
+    want = Counter((d, hashlib.sha256(sketches.edited(t, order[(i + 1) % 600][1]).encode()).hexdigest()) for i, (d, t) in enumerate(order))
+    assert got == want
+    assert sketches.fingerprint_edits(docs).count() == docs.count()
+
+
 def test_sketches_merge_and_estimate(spark, docs, empty):
     a, b = np.arange(1, 9000, dtype=np.uint64), np.arange(3000, 12000, dtype=np.uint64)
     x, y = sketches.sketch(sketches.mix(a)), sketches.sketch(sketches.mix(b))

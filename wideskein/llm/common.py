@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,12 +25,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: lineage ends here and a lost executor loses nothing."""
+#: Tables written within each open :func:`passing` block.
+_passing: list[list[DataFrame]] = []
+
+
+def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: lineage ends here and a lost executor loses nothing.
+
+    Within :func:`passing` the table is removed at the end of the block, unless it is to ``keep``.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wideskein/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if _passing and not keep:
+        _passing[-1].append(table)
+    return table
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables that are :func:`cut` inside, and those added to the list, are removed at the end: their readers have run by then."""
+    _passing.append([])
+    try:
+        yield _passing[-1]
+        for table in _passing[-1]:
+            for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    finally:
+        _passing.pop()
 
 
 def text_or_empty(column: str = "text") -> Column:

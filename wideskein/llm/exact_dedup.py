@@ -1,9 +1,9 @@
 """Exact dedup by progressive refinement: length, then prefix hash, then full hash.
 
-Each step looks only at what the step before left. Lengths and prefix hashes come from one scan that
-moves 24 bytes a document; the full SHA-256 is taken only for documents whose (length, prefix hash) is
-shared. No text is shuffled to find the groups, and groups are counted with map-side sums, so a text
-that makes up a third of the corpus costs one row a task.
+Each step looks only at what the step before left: lengths of all texts are counted, the prefix is hashed where the
+length is shared, and SHA-256 is taken where length and prefix hash are shared. What a step moves is a row of
+counts for each key and task. No text is shuffled to find the groups, and groups are counted with map-side sums, so
+a text that makes up a third of the corpus costs one row a task.
 
 Defined cases. A null text counts as empty, and all empty texts are one group. Of equal texts the row
 with the largest doc_id stays; a null doc_id is below all others. Rows repeated with the same doc_id and
@@ -19,33 +19,40 @@ from pyspark.sql import functions as F
 
 from wideskein.llm.common import cut, text_or_empty
 
-#: Leading bytes that the second step hashes.
+#: Leading characters that the second step hashes.
 PREFIX_CHARS = 128
-#: Candidate keys up to this many are broadcast to the scan of the third step (24 bytes each).
+#: Keys of a step up to this many are broadcast to the scan of the next one (8 to 24 bytes each).
 BROADCAST_KEYS = 500_000
 
 
-def _length(text: Column) -> Column:
-    return F.octet_length(text).cast("long")
+def _length() -> Column:
+    return F.octet_length(text_or_empty()).cast("long")
 
 
-def _prefix(text: Column, chars: int) -> Column:
-    return F.xxhash64(F.substring(text, 1, chars))
+def _prefix(chars: int) -> Column:
+    return F.xxhash64(F.substring(text_or_empty(), 1, chars))
 
 
-def duplicate_groups(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
+def _sent(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def _shared(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+
+
+def shared_keys(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
+    """_dedup_bytes, _dedup_prefix: the lengths and prefix hashes that more than one row has, found in two steps."""
+    lengths = cut(_shared(docs.select(_length().alias("_dedup_bytes")), "_dedup_bytes"), "dedup-lengths")
+    left = docs.select(_length().alias("_dedup_bytes"), "text").join(_sent(lengths), "_dedup_bytes", "left_semi")
+    return cut(_shared(left.select("_dedup_bytes", _prefix(prefix_chars).alias("_dedup_prefix")), "_dedup_bytes", "_dedup_prefix"), "dedup-prefixes")
+
+
+def duplicate_groups(docs: DataFrame, keys: DataFrame | None = None, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """One row per text that occurs more than once: text_sha256, keep_id, group_size, keep_rows (rows that hold keep_id)."""
-    text = text_or_empty()
-    scan = docs.select("doc_id", text.alias("text"))
-    sizes = cut(scan.select(_length(F.col("text")).alias("n_bytes"), _prefix(F.col("text"), prefix_chars).alias("prefix")).groupBy("n_bytes", "prefix").agg(F.count(F.lit(1)).alias("n")), "dedup-sizes")
-    shared_lengths = sizes.groupBy("n_bytes").agg(F.sum("n").alias("n")).where("n > 1").select("n_bytes")
-    keys = cut(sizes.join(shared_lengths, "n_bytes", "left_semi").where("n > 1").select("n_bytes", "prefix"), "dedup-keys")
-    keyed = scan.withColumns({"n_bytes": _length(F.col("text")), "prefix": _prefix(F.col("text"), prefix_chars)})
-    if keys.count() <= BROADCAST_KEYS:
-        survivors = keyed.join(F.broadcast(keys), ["n_bytes", "prefix"], "left_semi")
-        hashed = survivors.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
-    else:  # the hash travels, not the text
-        hashed = keyed.select("doc_id", "n_bytes", "prefix", F.sha2("text", 256).alias("text_sha256")).join(keys, ["n_bytes", "prefix"], "left_semi")
+    keys = shared_keys(docs, prefix_chars) if keys is None else keys
+    keyed = docs.select("doc_id", _length().alias("_dedup_bytes"), _prefix(prefix_chars).alias("_dedup_prefix"), "text")
+    hashed = keyed.join(_sent(keys), ["_dedup_bytes", "_dedup_prefix"], "left_semi").select("doc_id", F.sha2(text_or_empty(), 256).alias("text_sha256"))
     per_doc = hashed.groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     return (
         per_doc.groupBy("text_sha256")
@@ -57,7 +64,7 @@ def duplicate_groups(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataF
 
 def mark(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    groups = cut(duplicate_groups(docs, prefix_chars), "dedup-groups")
+    groups = cut(duplicate_groups(docs, None, prefix_chars), "dedup-groups")
     rows = docs.select("doc_id", F.sha2(text_or_empty(), 256).alias("text_sha256"))
     alone = F.col("group_size").isNull()
     return rows.join(groups, "text_sha256", "left").select(
@@ -70,11 +77,12 @@ def mark(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of equal texts, all columns as they were."""
-    groups = cut(duplicate_groups(docs, prefix_chars).select(F.col("text_sha256").alias("_dedup_sha"), F.col("keep_id").alias("_dedup_keep"), F.col("keep_rows").alias("_dedup_rows")), "dedup-groups")
-    if groups.count() <= BROADCAST_KEYS:
-        groups = F.broadcast(groups)
-    named = docs.withColumn("_dedup_sha", F.sha2(text_or_empty(), 256)).join(groups, "_dedup_sha", "left")
+    """The rows of ``docs`` with one row of each group of equal texts, all columns as they were. Only texts of shared length and prefix are hashed."""
+    keys = shared_keys(docs, prefix_chars)
+    groups = cut(duplicate_groups(docs, keys, prefix_chars).select(F.col("text_sha256").alias("_dedup_sha"), F.col("keep_id").alias("_dedup_keep"), F.col("keep_rows").alias("_dedup_rows")), "dedup-groups")
+    keyed = docs.withColumns({"_dedup_bytes": _length(), "_dedup_prefix": _prefix(prefix_chars)})
+    suspects = keyed.join(_sent(keys.withColumn("_dedup_suspect", F.lit(True))), ["_dedup_bytes", "_dedup_prefix"], "left")
+    named = suspects.withColumn("_dedup_sha", F.when(F.col("_dedup_suspect"), F.sha2(text_or_empty(), 256))).join(_sent(groups), "_dedup_sha", "left")
     single = named.where("_dedup_rows is null or (_dedup_rows = 1 and doc_id <=> _dedup_keep)")
     repeated = named.where("_dedup_rows > 1 and doc_id <=> _dedup_keep").dropDuplicates(["_dedup_sha"])
     return single.unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))

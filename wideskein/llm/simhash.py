@@ -9,11 +9,12 @@ verified by their differing bits.
 
 Only distinct fingerprints are indexed, so copies cost one entry. A posting is searched in numpy and yields a
 spanning forest of its links, never all pairs. A posting longer than ``DENSE`` is refined, not capped: its
-fingerprints go to ten five-byte keys each (the pair shares five positions, so one key at least), and a
-five-byte posting still longer than ``DENSE`` is joined exactly by keys that leave out three of the 24 bits
-left: equal keys are links by construction, and work grows linearly with its length. Index keys that hold more
-than one part in ``HOT_SHARE`` of the index (so fewer than ``HOT_SHARE`` of them) skip the posting and are
-refined at once, on all executors.
+fingerprints go to the ten five-byte keys that hold the posting's three bytes (the pair shares five positions, so
+one such key at least). In a five-byte posting still longer than ``DENSE`` 24 bits are left, of which a link
+differs in three at most, so one quarter of them is equal: its fingerprints are grouped by each quarter, which
+leaves 18 bits and so at most 2^18 fingerprints a group, and links are looked up bit by bit in a table of that size.
+Index keys that hold more than one part in ``HOT_SHARE`` of the index (so fewer than ``HOT_SHARE`` of them) skip the
+posting and are refined at once, on all executors.
 
 Defined cases. A null text has no words; texts without words have fingerprint zero and are linked like any
 other. Repeated rows share a fingerprint. A null doc_id gets a component but names none, unless all its
@@ -172,15 +173,42 @@ def _postings(index: DataFrame, dense: int, name: str) -> DataFrame:
     return cut(parts.mapInArrow(_search(dense), "a long, b long, key long"), name)
 
 
-def _leave_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For (key, fp) of long five-byte postings: a row for every choice of three bits of the three bytes left, those bits cleared."""
-    for batch in slices(batches, 64):
-        for key, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            left = [p for p in range(8) if p not in FIVES[key >> 40]]
-            bits = [np.uint64(1) << np.uint64(63 - 8 * p - b) for p in left for b in range(8)]
-            masks = np.array([x | y | z for x, y, z in itertools.combinations(bits, 3)], dtype=np.uint64)
-            cleared = np.uint64(fp & (2**64 - 1)) & ~masks
-            yield pa.RecordBatch.from_arrays([pa.array(masks.view(np.int64)), pa.array(cleared.view(np.int64)), pa.array(np.full(len(masks), fp, np.int64))], names=["mask", "cleared", "fp"])
+def _quarters(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For (key, fp) of long five-byte postings: key, part (which quarter of the 24 bits left, and its six bits), rest (the other 18) and fp."""
+    for batch in batches:
+        keys, prints = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        for tag in np.unique(keys >> 40):
+            mine = keys >> 40 == tag
+            key, fp = keys[mine], prints[mine].view(np.uint64)
+            left = np.zeros(len(fp), dtype=np.uint64)
+            for p in range(8):
+                if p not in FIVES[tag]:
+                    left = left << np.uint64(8) | fp >> np.uint64(56 - 8 * p) & np.uint64(255)
+            left = left.astype(np.int64)
+            for quarter in range(4):
+                below = 18 - 6 * quarter
+                part = 64 * quarter + (left >> below & 63)
+                rest = (left >> below + 6) << below | left & (1 << below) - 1
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part.astype(np.int32)), pa.array(rest.astype(np.int32)), pa.array(fp.view(np.int64))], names=["key", "part", "rest", "fp"])
+
+
+_FLIPS = np.array(sorted({x | y | z for x, y, z in itertools.product([1 << b for b in range(18)], repeat=3)}))
+
+
+def _by_bits(table: pa.Table) -> pa.Table:
+    """Links of one group of :func:`_quarters`: every fingerprint to the first one it reaches over ``rest`` that differ in three bits at most."""
+    rest, fp = table["rest"].to_numpy(), table["fp"].to_numpy()
+    place = np.full(1 << 18, -1, dtype=np.int64)
+    place[rest] = np.arange(len(rest))
+    root, before = np.arange(len(rest)), None
+    while before is None or (root != before).any():
+        before = root.copy()
+        for flip in _FLIPS:
+            other = place[rest ^ flip]
+            root = np.where(other >= 0, np.minimum(root, root[other]), root)
+        root = root[root]
+    linked = np.flatnonzero(root != np.arange(len(rest)))
+    return pa.table({"a": fp[linked], "b": fp[root[linked]]})
 
 
 def links(prints: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) -> DataFrame:
@@ -192,22 +220,25 @@ def links(prints: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) ->
     n_hot = hot.count()
     usual = index.join(F.broadcast(hot), "key", "left_anti") if n_hot else index
     found = _postings(usual, dense, "simhash-triples")
-    refine = found.where("b is null").select(F.col("a").alias("fp"))
+    refine = found.where("b is null").select("key", F.col("a").alias("fp"))
     if n_hot:
-        refine = refine.unionByName(index.join(F.broadcast(hot), "key", "left_semi").select("fp"))
-    refine = cut(refine.distinct(), "simhash-refine")
+        refine = refine.unionByName(index.join(F.broadcast(hot), "key", "left_semi").select("key", "fp"))
+    refine = cut(refine, "simhash-refine")
     out = found.where("b is not null").select("a", "b")
     if refine.isEmpty():
         return out
-    fives = _postings(_index(refine, FIVES), dense, "simhash-fives")
+    held = F.when(F.lit(False), F.array().cast("array<bigint>"))
+    for tag, triple in enumerate(TRIPLES):
+        fives = [_key(F.col("fp"), g, i) for i, g in enumerate(FIVES) if set(triple) < set(g)]
+        held = held.when(F.shiftright("key", 24) == tag, F.array(*fives))
+    fives = _postings(refine.select("fp", F.explode(held).alias("key")).distinct(), dense, "simhash-fives")
     out = out.unionByName(fives.where("b is not null").select("a", "b"))
     long = fives.where("b is null").select("key", F.col("a").alias("fp"))
     if long.isEmpty():
         return out
-    exact = long.mapInArrow(_leave_out, "mask long, cleared long, fp long")
-    least = exact.groupBy("mask", "cleared").agg(F.min("fp").alias("b"))
-    star = exact.join(least, ["mask", "cleared"]).where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
-    return out.unionByName(star)
+    parts = long.mapInArrow(_quarters, "key long, part int, rest int, fp long")
+    # A group holds 2^18 fingerprints at most, as they are distinct.
+    return out.unionByName(parts.groupBy("key", "part").applyInArrow(_by_bits, "a long, b long"))
 
 
 def _grouped(docs: DataFrame, dense: int, hot_share: int) -> tuple[DataFrame, DataFrame]:

@@ -5,8 +5,8 @@ whole sequence is one shingle; no words: an empty sketch). Sketches of parts mer
 whole, and two sketches give estimates of resemblance, containment and distinct shingles.
 
 Defined cases. A null text counts as empty. Two empty sketches resemble each other fully, an empty and a
-filled one not at all. Rows are put in descending order of doc_id, ties by text, null doc_ids last; repeated
-rows follow each other. A table of one row is its own next document; an empty table gives an empty result.
+filled one not at all. Rows are put in descending order of doc_id, null doc_ids last, ties by a hash of the text;
+repeated rows follow each other. A table of one row is its own next document; an empty table gives an empty result.
 Extra columns are ignored.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from wideskein.llm.common import slices, text_or_empty
 
 K = 128
 SHINGLE = 5
+#: Bytes of text in a range of documents.
+RANGE_BYTES = 64 << 20
 _MASK = (1 << 64) - 1
 #: Words whose hashes a Python worker keeps.
 _MEMO = 300_000
@@ -135,36 +138,55 @@ def merged_sketches(sketches: DataFrame, key: str, k: int = K) -> DataFrame:
     return rows.mapInArrow(local, schema).repartition(key).mapInArrow(local, schema)
 
 
-def _bounds(docs: DataFrame, parts: int) -> list[int]:
-    """Ascending doc_ids that split the table in about ``parts`` equal ranges."""
-    at = [i / parts for i in range(1, parts)]
-    found = docs.select(F.col("doc_id").cast("long")).agg(F.percentile_approx("doc_id", at, 10 * parts) if at else F.lit(None)).first()[0]
-    return sorted(set(found or []))
-
-
-def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """Rows (range, guest, doc_id, text) partitioned and sorted so that each document is followed by its next one.
+def _ranged(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc_id, text, tie (a hash of the text) and range of every row, and the number of ranges, of about ``RANGE_BYTES`` each.
 
-    Ranges of doc_id keep the order without one global sort; the first document of a range comes once more, as a
-    guest, after the last row of the range before it (the very first after the very last). Each text moves once.
+    Ranges go down by doc_id, those of rows without one come last. A doc_id that alone fills several ranges, or the
+    lack of one, is split by the tie, which also orders its rows.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).withColumn("tie", F.xxhash64("text"))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("named"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size.bytes or 0) // RANGE_BYTES))
+    at = [i / parts for i in range(1, parts)]
+    bounds = rows.agg(F.percentile_approx("doc_id", at, 10 * parts)).first()[0] if at else None
+    values, first, times, below, last = [], [], [], [], 0
+    for value, n in sorted(Counter(bounds or []).items(), reverse=True):
+        values.append(value)
+        times.append(n)
+        first.append(last + 1)
+        # The rows of a bound that came several times have ranges of their own, others go with what is below.
+        last += 1 if n == 1 else n + 1
+        below.append(last)
+    unnamed = max(1, round(parts * (size.n - size.named) / size.n)) if size.n else 1
+    longs = lambda x: F.expr(f"array({', '.join(f'{v}L' if v > -(2**63) else 'bigint(-9223372036854775808)' for v in x)})")
+    nth = lambda of: F.least(F.floor((F.col("tie").cast("double") / 2.0**64 + 0.5) * of), of - 1)
+    place = F.lit(0).cast("long")
+    if values:
+        above = F.size(F.filter(longs(values), lambda v: v >= F.col("doc_id")))
+        here = F.element_at(longs(values), above) == F.col("doc_id")
+        place = F.when(above == 0, place).when(here, F.element_at(longs(first), above) + nth(F.element_at(longs(times), above))).otherwise(F.element_at(longs(below), above))
+    place = F.when(F.col("doc_id").isNull(), last + 1 + nth(F.lit(unnamed))).otherwise(place)
+    return rows.withColumn("range", place.cast("int")), last + 1 + unnamed
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """Rows (range, guest, doc_id, text) partitioned by range and sorted so that each document is followed by its next one.
+
+    Ranges keep the order without one global sort; the first document of a range comes once more, as a guest,
+    after the last row of the range before it (the very first after the very last). Each text moves once.
     """
     spark = docs.sparkSession
-    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _bounds(docs, parts)
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    splits = F.array(*(F.lit(b).cast("long") for b in bounds)) if bounds else F.array().cast("array<bigint>")
-    rank = F.when(F.col("doc_id").isNull(), F.lit(len(bounds))).otherwise(F.lit(len(bounds)) - F.size(F.filter(splits, lambda b: b <= F.col("doc_id"))))
-    ranged = rows.withColumn("range", rank.cast("int"))
-    first = F.struct(F.col("doc_id").isNotNull().alias("named"), F.col("doc_id"))
-    heads = sorted((r.range, r.head.doc_id) for r in ranged.groupBy("range").agg(F.max(first).alias("head")).collect())
-    before = {here[0]: heads[i - 1][0] for i, here in enumerate(heads)}
-    table = spark.createDataFrame([(before[r], r, h) for r, h in heads], "guest_of int, range int, head long")
-    lead = ranged.join(F.broadcast(table), "range").where("doc_id <=> head")
-    least = lead.groupBy("guest_of", "doc_id").agg(F.min("text").alias("text"))
-    guests = least.select(F.col("doc_id"), F.col("text"), F.col("guest_of").alias("range"), F.lit(1).alias("guest"))
+    ranged, ranges = _ranged(docs)
+    first = F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.col("tie"))
+    heads = sorted((r.range, r.head[1], r.head[2]) for r in ranged.groupBy("range").agg(F.min(first).alias("head")).collect())
+    table = [(heads[i - 1][0], r, None if doc_id is None else ~doc_id, tie) for i, (r, doc_id, tie) in enumerate(heads)]
+    table = spark.createDataFrame(table, "guest_of int, range int, head long, head_tie long")
+    lead = ranged.join(F.broadcast(table), "range").where("doc_id <=> head and tie = head_tie")  # a row per range
+    guests = lead.groupBy(F.col("guest_of").alias("range"), "doc_id", "tie").agg(F.min("text").alias("text")).withColumn("guest", F.lit(1))
     both = ranged.withColumn("guest", F.lit(0)).unionByName(guests)
-    order = ["range", "guest", F.desc_nulls_last("doc_id"), "text"]
-    return both.repartition(parts, "range").sortWithinPartitions(*order).select("range", "guest", "doc_id", "text")
+    order = ["range", "guest", F.desc_nulls_last("doc_id"), "tie", "text"]
+    return both.repartitionById(ranges, F.col("range")).sortWithinPartitions(*order).select("range", "guest", "doc_id", "text")
 
 
 def edited(text: str, following: str) -> str:
