@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on small tables full of odd rows."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from wideskein.llm import components, exact_dedup, langid, mixing, near_copies, packing, recompression, secrets, sharding, simhash, sketches, toxicity
@@ -480,6 +482,32 @@ def test_toxicity(spark, labelled):
     assert {r.doc_id for r in kept.collect()} == {d for d, r in out.items() if not r.toxic}
 
 
+def test_toxicity_scores_follow_from_the_model(spark, docs, rows):
+    """Every probability again from weights and thresholds, features counted anew; odd, long and repeated rows among them."""
+    weights = {"so": 0.4, "so+": 1.5, "^w12": -0.7, "row": 2.0, "^with": 0.3, "a": 0.2, "one": -1.0}
+    model = toxicity.Model(weights, np.array([0.5, 1.0, 2.5]))
+
+    def evidence(text):
+        seen = Counter(f for w in re.findall(r"[^\W\d_]+", (text or "").lower()) for f in [w, *("^" + w[:n] for n in (4, 5, 6, 7) if len(w) > n)])
+        return sum(weights.get(f, 0) + (weights.get(f + "+", 0) if n > 1 else 0) for f, n in seen.items())
+
+    want = Counter()
+    for d, t, *_ in rows:
+        p = [1 / (1 + np.exp(x - evidence(t))) for x in (0.5, 1.0, 2.5)]
+        want[d, round(sum(p), 9), round(p[0], 9), bool(p[0] >= 0.5)] += 1
+    assert Counter((r.doc_id, round(r.severity, 9), round(r.p_toxic, 9), r.toxic) for r in toxicity.score(docs, model).collect()) == want
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns and Counter(r.doc_id for r in kept.collect()) == Counter({d: n for d, n in Counter(k[0] for k in want.elements() if not k[3]).items()})
+
+
+def test_grades_come_from_models_of_other_folds():
+    rng = np.random.default_rng(3)
+    toxic = np.array([i % 2 for i in range(400)])
+    lists = [sorted({0} | set(rng.integers(1, 3, 1).tolist())) if t and rng.random() < 0.7 else [3] if t else [] for i, t in enumerate(toxic)]
+    grades = toxicity._grades(lists, toxic, np.arange(400) // 2 % 4, 4)
+    assert set(grades[toxic == 0]) == {0} and set(grades[toxic == 1]) <= {1, 2, 3} and grades.max() == 3
+
+
 def test_toxicity_without_labels(spark, docs):
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert not any(r.toxic for r in toxicity.score(docs, model).collect())
@@ -568,8 +596,40 @@ def test_secret_scan(spark, rows):
         assert [o.secret for o in by[i]] == [[True], [False], [False], []][i % 4]
     text = dict((d, t) for d, t, *_ in found)
     assert all(hashlib.sha256(text[o.doc_id][o.start : o.end].encode()).hexdigest() == o.sha256 for o in out if o.doc_id is not None and o.doc_id < 240 and o.doc_id % 4 == 0)
-    none = secrets.classify(secrets.candidates(docs, secrets.learn_language(docs)), spark.createDataFrame([], "doc_id long, start long, label double"))
+    found = secrets.candidates(docs, secrets.learn_language(docs)).cache()
+    assert secrets.train(found, spark.createDataFrame([], "doc_id long, start long, label double")) is None
+    none = secrets.classify(found, None)
     assert none.count() == len(out) and none.where("secret").count() == 0
+    forest = secrets.train(found, secrets.label_findings(found))
+    for r in secrets.classify(found, forest).limit(40).collect():
+        votes = [np.array(tree.predictRaw(Vectors.dense(r.features))) for tree in forest.trees]
+        assert abs(np.mean([v / v.sum() for v in votes], axis=0)[1] - r.score) < 1e-9
+
+
+def test_candidates_of_all_kinds():
+    get = lambda t: [t[a:b] for a, b in secrets.found_in(t)]
+    assert get("plain words onlylonger but nothing-else") == []
+    assert get("a key: hunter2pass, then 'passphrase' and url=abcdefgh.") == ["hunter2pass", "passphrase", "abcdefgh"]
+    assert get("eyJhbGciOiJI.eyJzdWIi.SflKxwRJ: " + "k" * 16 + " short12") == ["eyJhbGciOiJI.eyJzdWIi.SflKxwRJ", "k" * 16]
+    assert get("=" * 40 + " " + "-" * 9) == [] and get("") == []
+    assert get("x" * 5000 + "9") == ["x" * 5000 + "9"]
+    at = lambda t, c: secrets.place_of(t, t.index(c), t.index(c) + len(c))
+    assert at('token = "abc123def456"', "abc123def456") == "quoted" and at("so abc123def456, then", "abc123def456") == "running"
+    assert at('key: "your_key_12345"', "your_key_12345") == "placeholder" and at("k=abc123def456", "abc123def456") == "other"
+
+
+def test_planted_secrets_of_unseen_documents_are_found(spark):
+    """The tables' planted tokens; the forest learns from four fifths of the documents and is held to the rest."""
+    sf = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(sf):
+        pytest.skip("test tables are not here")
+    docs = spark.read.parquet(sf)
+    found = secrets.candidates(docs, secrets.learn_language(docs)).cache()
+    forest = secrets.train(found, secrets.label_findings(found).where("doc_id % 2 = 0"))
+    got = {(r.doc_id, r.sha256) for r in secrets.classify(found, forest).where("secret and doc_id % 2 = 1").collect()}
+    planted = {(r.doc_id, hashlib.sha256(k.encode()).hexdigest()) for r in docs.where("doc_id % 2 = 1").collect() for k in re.findall(r'token = "([0-9a-f]{40})"', r.text or "")}
+    hits = len(got & planted)
+    assert planted and hits >= 0.9 * len(planted) and hits >= 0.9 * len(got)
 
 
 # All

@@ -4,19 +4,20 @@ Features are the lower-cased letter words of the whole text and their first 4 to
 or absent, and once more as repeated (``+``) or not. The model is learned from at most about ``SAMPLE``
 labelled documents, half of them toxic where there are as many, picked by a hash of doc_id. Their counts
 screen the features: those in at least ``LEAST_DOCS`` toxic documents, ``RATIO`` times as often there as in
-clean ones, and beyond what chance gives among all features tested (a log-likelihood margin of ``MARGIN``);
-the ``FEATURES`` most telling ones at most.
+clean ones, and beyond what chance gives among all features tested (a log-likelihood margin of ``MARGIN``).
+All that pass are used; the elastic net says which of them count.
 
-Labels say toxic or not; grades come from them: 0 for a clean document, and for a toxic one 1, 2 or 3 by how
-often its text uses features that hardly occur in clean labelled documents (up to once, up to three times,
-more). One weight vector is shared by the thresholds t1 < t2 < t3 of P(grade >= k) = sigmoid(w.x - t_k); it
-is fitted by proximal gradient steps with elastic-net penalties. Severity is the expected grade, the sum of
-P(grade >= k) over k. A document is toxic if P(grade >= 1) >= ``REJECT``.
+Labels say toxic or not; grades come from them and from what models that have not seen the document say of it. The
+labelled documents fall into ``FOLDS`` folds, each fold trains a model of its own, and the grade of a toxic document
+is how many models of the other three folds find it toxic, one at least; a clean one has grade 0. One weight vector
+is shared by the thresholds t1 < t2 < t3 of P(grade >= k) = sigmoid(w.x - t_k); it is fitted by proximal gradient
+steps with elastic-net penalties. Severity is the expected grade, the sum of P(grade >= k) over k. A document is
+toxic if P(grade >= 1) >= ``REJECT``.
 
 Defined cases. A null or empty text has no features and gets the score of none. Labels that are null, or
 whose document is missing, teach nothing; without a toxic and a clean label every document is clean with
-severity 0. Repeated rows are scored alike. A null doc_id is scored too. Extra columns are ignored by
-:func:`score` and pass through :func:`keep_clean`.
+severity 0. Repeated rows are scored alike. A null doc_id is scored too. Very long texts are read in whole. Extra
+columns are ignored by :func:`score` and pass through :func:`keep_clean`.
 """
 
 from __future__ import annotations
@@ -35,12 +36,12 @@ from pyspark.sql import functions as F
 from wideskein.llm.common import cut, slices
 
 SAMPLE = 16_000
-FEATURES = 1024
 LEAST_DOCS = 4
 RATIO = 8
 MARGIN = 4.0
 LISTED = 300_000
-GRADES = 3
+FOLDS = 4
+GRADES = FOLDS - 1
 REJECT = 0.5
 PREFIXES = range(4, 8)
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -99,8 +100,8 @@ class Model:
         return Model, (self.weights, self.thresholds)
 
 
-def screen(labelled: DataFrame, features: int = FEATURES, least: int = LEAST_DOCS) -> tuple[list[tuple[str, int, int]], int, int]:
-    """(feature, toxic documents, clean documents) of the most telling features, and how many documents of either kind there are. """
+def screen(labelled: DataFrame, least: int = LEAST_DOCS) -> tuple[list[tuple[str, int, int]], int, int]:
+    """(feature, toxic documents, clean documents) of the telling features, and how many documents of either kind there are."""
 
     def listed(known: set[str] | None):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,38 +125,65 @@ def screen(labelled: DataFrame, features: int = FEATURES, least: int = LEAST_DOC
     clean = clean.join(toxic.select("feature"), "feature", "left_semi").groupBy("feature").agg(F.count(F.lit(1)).alias("n0"))
     both = toxic.join(clean, "feature", "left").na.fill(0, ["n0"])
     p1, p0 = (F.col("n1") + 0.5) / (n1 + 1.0), (F.col("n0") + 0.5) / (n0 + 1.0)
-    gain = F.log(p1 / p0) * F.sqrt("n1")
     # Log-likelihood gain of the feature's own toxic share over the common one; chance reaches log(tested) among so many features.
     n, toxic_share = F.col("n1") + F.col("n0"), n1 / (n1 + n0)
     telling = F.col("n1") * F.log(F.col("n1") / (n * toxic_share)) + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / (n * (1 - toxic_share)))).otherwise(0.0)
-    top = both.where((p1 > RATIO * p0) & (telling > math.log(max(tested, 1)) + MARGIN)).orderBy(gain.desc(), "feature").limit(features).select("feature", "n1", "n0").collect()
+    top = both.where((p1 > RATIO * p0) & (telling > math.log(max(tested, 1)) + MARGIN)).select("feature", "n1", "n0").orderBy("feature").collect()
     return [(r.feature, r.n1, r.n0) for r in top], n1, n0
 
 
-def _fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, l1: float = 0.0001, l2: float = 0.00002, steps: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Sparse:
+    """Rows of present features: row and feature of each, side by side."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    rows: int
+    features: int
+
+    @classmethod
+    def of(cls, lists: list[list[int]], features: int) -> Sparse:
+        return cls(np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.array([f for x in lists for f in x], dtype=np.int64), len(lists), features)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.feature], minlength=self.rows)
+
+    def sums(self, of_rows: np.ndarray) -> np.ndarray:
+        return np.bincount(self.feature, weights=of_rows[self.row], minlength=self.features)
+
+
+def _fit_ordinal(x: Sparse, y: np.ndarray, grades: int, l1: float = 0.0001, l2: float = 0.00002, steps: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by accelerated proximal gradient on the binary losses of y >= k."""
-    d = x.shape[1]
-    sums, inverse = np.unique(np.column_stack([x, y]), axis=0, return_inverse=True)
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))  # toxic and clean count alike
-    share = np.bincount(inverse.ravel(), weights=weight, minlength=len(sums))
-    x, y = sums[:, :d].astype(np.float64), sums[:, d]
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))  # toxic and clean count alike
     target = (y[:, None] >= np.arange(1, grades + 1)[None, :]).astype(np.float64)
-    step = 4.0 / (grades * max(1.0, float((share[:, None] * x**2).sum())) + grades)
-    w, t = np.zeros(d), np.linspace(1.0, 2.0, grades)
+    step = 4.0 / (grades * max(1.0, float(share[x.row].sum())) + grades)
+    w, t = np.zeros(x.features), np.linspace(1.0, 2.0, grades)
     pw, pt, momentum = w, t, 1.0
     for _ in range(steps):
         faster = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         k = (momentum - 1) / faster
         vw, vt = w + k * (w - pw), t + k * (t - pt)
         pw, pt, momentum = w, t, faster
-        error = (1.0 / (1.0 + np.exp(np.clip(vt[None, :] - (x @ vw)[:, None], -50, 50))) - target) * share[:, None]
-        w = vw - step * (x.T @ error.sum(axis=1) + l2 * vw)
+        error = (1.0 / (1.0 + np.exp(np.clip(vt[None, :] - x.times(vw)[:, None], -50, 50))) - target) * share[:, None]
+        w = vw - step * (x.sums(error.sum(axis=1)) + l2 * vw)
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0.0)
         t = np.maximum.accumulate(vt + step * error.sum(axis=0))
     return w, t
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Model:
+def _grades(lists: list[list[int]], toxic: np.ndarray, fold: np.ndarray, features: int) -> np.ndarray:
+    """0 for clean rows; for toxic ones the models of other folds that find them toxic, one at least."""
+    votes, x = np.zeros(len(lists), dtype=np.int64), Sparse.of(lists, features)
+    for f in range(FOLDS):
+        mine = np.flatnonzero(fold == f)
+        if not toxic[mine].any() or toxic[mine].all():
+            continue
+        w, t = _fit_ordinal(Sparse.of([lists[i] for i in mine], features), toxic[mine], 1, steps=300)
+        votes += (x.times(w) >= t[0]) & (fold != f)
+    return np.where(toxic == 1, np.clip(votes, 1, GRADES), 0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from the documents that ``labels`` (doc_id, toxic) covers."""
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where("toxic in (0, 1)")
     sizes = {r.toxic: r.n for r in y.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -163,29 +191,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     picked = y.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < share * (1 << 30))
     # The sample's bound holds for the labels sent to the scan and for the texts kept.
     labelled = cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id"), "toxic-sample")
-    found, n1, n0 = screen(labelled, features)
+    found, *_ = screen(labelled)
     if not found:
         return Model({}, np.full(GRADES, 60.0))
     names = {f: i for i, (f, _, _) in enumerate(found)}
-    strong = {f for f, a, b in found if (b + 0.5) / (n0 + 1) < 0.05 * (a + 0.5) / (n1 + 1)}
-
     plain = _plain(names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, tuple] = {}
         for batch in slices(batches):
-            at, hits = [], []
-            for text in batch.column(2).to_pylist():
-                at.append(sorted(names[f] for f in features_in(text, plain, memo) if f in names))
-                hits.append(sum(1 for w in words(text) if any(f in strong for f in word_features(w))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(hits, pa.int64())], names=["doc_id", "toxic", "at", "hits"])
-
-    rows = labelled.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, at array<int>, hits long").toArrow().sort_by("doc_id")
-    x = np.zeros((len(rows), len(names)), dtype=np.float32)
-    for i, at in enumerate(rows["at"].to_pylist()):
-        x[i, at] = 1.0
-    hits, toxic = rows["hits"].to_numpy(), rows["toxic"].to_numpy()
-    w, t = _fit_ordinal(x, np.where(toxic == 1, np.select([hits <= 1, hits <= 3], [1, 2], 3), 0), GRADES)
+            at = [sorted(names[f] for f in features_in(text, plain, memo) if f in names) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32()))], names=["doc_id", "toxic", "at"])
+
+    rows = labelled.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, at array<int>").toArrow().sort_by("doc_id")
+    lists, toxic = rows["at"].to_pylist(), rows["toxic"].to_numpy()
+    y = _grades(lists, toxic, np.arange(len(lists)) % FOLDS, len(names))
+    w, t = _fit_ordinal(Sparse.of(lists, len(names)), y, GRADES)
     return Model({f: float(w[i]) for f, i in names.items() if w[i] != 0.0}, t)
 
 
