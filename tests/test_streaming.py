@@ -22,8 +22,13 @@ def test_arrivals(spark, tmp_path):
     assert sum(b["rows"] for b in arrive(one)) == 3
     arrive(two)
     arrive(one)
-    table = sinks.read_days(spark, f"{base}/table", SCHEMA + ", event_date date")
-    assert sorted((r.flight_id, r.altitude) for r in table.collect()) == [("001", 1.0), ("001", 4.0), ("002", 5.0)]
+    corrected = two.where("altitude = 4").withColumn("altitude", F.lit(4.5))
+    arrive(corrected)
+    keys = ["flight_id", "time"]
+    table = arrivals.settled(spark, f"{base}/table", one.schema, keys)
+    assert sorted((r.flight_id, r.altitude) for r in table.collect()) == [("001", 1.0), ("001", 4.5), ("002", 5.0)]
+    arrivals.compact(spark, f"{base}/table", one.schema, keys, f"{base}/compact")
+    assert sinks.read_days(spark, f"{base}/compact", SCHEMA + ", event_date date").count() == 3
     assert {r.altitude for r in spark.read.parquet(f"{base}/late").collect()} == {2.0, 3.0}
 
 
@@ -31,9 +36,11 @@ def test_new_alerts_and_stream_dedup(spark, tmp_path):
     state = str(tmp_path / "state")
     batch = spark.createDataFrame([("j", "s", "FAILURE", 1), ("k", "s", "SUCCESS", 1)], "job_name string, step_name string, status string, timestamp int")
     assert [r.job_name for r in arrivals.new_alerts(spark, batch, state, ["job_name", "step_name"]).collect()] == ["j"]
-    batch.write.parquet(state)
     later = batch.withColumn("status", F.lit("RESOLVED")).where("job_name = 'j'")
     assert arrivals.new_alerts(spark, later, state, ["job_name", "step_name"]).first().known == "FAILURE"
+    again = batch.withColumn("status", F.lit("FAILURE"))
+    assert sorted(r.job_name for r in arrivals.new_alerts(spark, again, state, ["job_name", "step_name"]).collect()) == ["j", "k"]
+    assert arrivals.new_alerts(spark, again, state, ["job_name", "step_name"]).count() == 0
     spark.sql("SELECT timestamp'2026-01-05 10:00:00' AS time, 'a' AS k FROM range(3)").coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("time timestamp, k string").parquet(str(tmp_path / "in"))
     query = arrivals.without_repeats(stream, ["k"]).writeStream.format("memory").queryName("dedup").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()

@@ -57,6 +57,11 @@ def value_filters(df: DataFrame, specs: Iterable[dict]) -> list[Column]:
     return out
 
 
+def active(status: Column) -> Column:
+    """Alerts that are still open."""
+    return F.coalesce(status == "FAILURE", F.lit(False))
+
+
 def not_blank(column: Column) -> Column:
     return F.trim(column) != ""
 

@@ -54,6 +54,11 @@ def flag_share(df: DataFrame, flag: Column) -> DataFrame:
     return df.agg(F.count_if(flag).alias("n_true"), F.avg(flag.cast("double")).alias("share"))
 
 
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns under the names that people read; one that isn't there is passed over."""
+    return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
+
+
 def preview(df: DataFrame, rows: int = 200) -> DataFrame:
     return df.limit(rows)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wideskein.sources.sinks import read_version, replace_version
+
 
 def latest_per(df: DataFrame, key: str, time: str, ties: Sequence[str] = ()) -> DataFrame:
     """The newest row of each key, by one hash aggregate: no sort of a key's history."""
@@ -25,6 +27,18 @@ def status_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str =
     return df.withColumn("previous", before).where(F.col("previous").isNotNull() & (F.col("previous") != F.col(status)))
 
 
+def alert_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str = "status", ties: Sequence[str] = ()) -> DataFrame:
+    """Of :func:`status_changes` those that alert: a new FAILURE, and a FAILURE that became RESOLVED."""
+    changes = status_changes(df, keys, seen, status, ties)
+    return changes.where((F.col(status) == "FAILURE") | ((F.col("previous") == "FAILURE") & (F.col(status) == "RESOLVED")))
+
+
+def append_newest(spark: SparkSession, rows: DataFrame, path: str, time: str, ties: Sequence[str], keep: int = 500) -> DataFrame:
+    """Add ``rows`` to the table at ``path`` and keep its newest ``keep``; the table as it is then."""
+    held = read_version(spark, path, rows.schema)
+    return replace_version(spark, keep_newest(rows if held is None else held.unionByName(rows), time, ties, keep), path)
+
+
 def status_counts(df: DataFrame, status: str = "status") -> DataFrame:
     return df.groupBy(status).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -38,12 +52,13 @@ def run_kpis(df: DataFrame, status: str, good: str, bad: str, open_ones: Sequenc
 def resolve_alerts(failures: DataFrame, successes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Failures with the first later success of their keys: resolved_at, and status RESOLVED where there is one.
 
-    Each failure looks up the next success in one sorted pass over both, so a key with many of either costs no pairs.
+    Both are sorted by time, latest first, and the earliest success so far goes along: one pass, however many a key has.
+    A success of the same instant doesn't count; a failure without a time is never resolved.
     """
     columns = [c for c in failures.columns if c not in keys and c != "timestamp"]
     bad = failures.select(*keys, "timestamp", F.lit(0).alias("_good"), F.struct(*columns).alias("_row"))
     good = successes.select(*keys, "timestamp", F.lit(1).alias("_good"), F.lit(None).cast(bad.schema["_row"].dataType).alias("_row"))
-    later = Window.partitionBy(*keys).orderBy("timestamp", F.desc("_good")).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.desc_nulls_first("timestamp"), "_good").rowsBetween(Window.unboundedPreceding, -1)
     both = bad.unionByName(good).withColumn("resolved_at", F.min(F.when(F.col("_good") == 1, F.col("timestamp"))).over(later))
     rows = both.where("_good = 0").select(*keys, "timestamp", *(F.col(f"_row.{c}").alias(c) for c in columns), "resolved_at")
     return rows.withColumn("status", F.when(F.col("resolved_at").isNotNull(), "RESOLVED").otherwise("FAILURE"))

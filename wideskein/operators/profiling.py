@@ -24,11 +24,12 @@ def wide_form(rows: DataFrame) -> DataFrame:
     return rows.select("file", F.posexplode("values").alias("pos", "value"))
 
 
-def profile_columns() -> list[Column]:
-    v = F.when(~F.isnan("value"), F.col("value"))
+def profile_columns(value: Column | None = None) -> list[Column]:
+    value = F.col("value") if value is None else value
+    v = F.when(~F.isnan(value), value)
     return [
         F.count(v).alias("n"),
-        F.count_if(F.isnan("value")).alias("n_nan"),
+        F.count_if(F.isnan(value)).alias("n_nan"),
         F.sum(v.cast(EXACT)).alias("total"),
         F.min(v).alias("low"),
         F.max(v).alias("high"),
@@ -42,6 +43,18 @@ def profile(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys).agg(*profile_columns())
 
 
+def profile_narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """pos, name and the profile of a few columns: plain aggregates of one row, turned into a row a column; no cell becomes a row."""
+    each = lambda c: F.struct(*profile_columns(F.col(c).cast("double")))
+    row = df.agg(*(each(c).alias(f"_{i}") for i, c in enumerate(columns)))
+    return row.select(F.inline(F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(f"_{i}").alias("made")) for i, c in enumerate(columns))))).select("pos", "name", "made.*")
+
+
+def short(fingerprint: Column) -> Column:
+    """The first 16 characters of a fingerprint, for display."""
+    return F.substring(fingerprint, 1, 16)
+
+
 def column_class() -> Column:
     """What a column holds, from its profile: constants, flags, bytes or floats."""
     return (
@@ -74,6 +87,11 @@ def narrowed(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, byte_or_null(F.col(column)))
 
 
+def not_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """name, n_not_flag: how many values of each flag column are neither 0 nor 1."""
+    return profile_narrow(df, columns).select("name", "n_not_flag")
+
+
 def out_of_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How many values of each column a byte can't hold."""
     return df.agg(*(F.count_if(F.col(c).isNotNull() & byte_or_null(F.col(c)).isNull()).alias(c) for c in columns))

@@ -22,6 +22,7 @@ def exact_columns(df: DataFrame, expected: Sequence[str]) -> Rule:
 
 
 def in_range(column: str, low: float, high: float) -> Rule:
+    """Null passes, here and in :func:`allowed`; :func:`not_null` says if it may."""
     return Rule(f"{column}_range", F.count_if(~F.col(column).between(low, high)))
 
 
@@ -75,9 +76,13 @@ def boxes(width: str, height: str, x: str, y: str, image_width: float, image_hei
 
 
 def sequence_split(df: DataFrame, sequence: str, shares: Sequence[tuple[str, int]]) -> DataFrame:
-    """Whole sequences go to one part: the key's bucket of the summed shares says which."""
+    """Whole sequences go to one part: a hash of the key, of any type, says which, so that runs and strides of keys don't matter.
+
+    A null key is a sequence of its own.
+    """
     total = sum(n for _, n in shares)
-    bucket = F.pmod(F.col(sequence).cast("long"), F.lit(total)) if df.schema[sequence].dataType.typeName() in ("long", "integer") else F.pmod(F.xxhash64(sequence), F.lit(total))
+    text = F.coalesce(F.col(sequence).cast("string"), F.lit(""))
+    bucket = F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(total))
     split, edge = None, 0
     for name, n in shares:
         edge += n
@@ -85,6 +90,13 @@ def sequence_split(df: DataFrame, sequence: str, shares: Sequence[tuple[str, int
     return df.withColumn("split", split)
 
 
+def split_sizes(split: DataFrame, sequence: str, names: Sequence[str]) -> DataFrame:
+    """split, n_sequences, n_rows of every part, those that got nothing too."""
+    counted = split.groupBy("split").agg(F.count_distinct(F.coalesce(F.col(sequence).cast("string"), F.lit(""))).alias("n_sequences"), F.count(F.lit(1)).alias("n_rows"))
+    all_parts = split.sparkSession.createDataFrame([(n,) for n in names], "split string")
+    return all_parts.join(counted, "split", "left").na.fill(0)
+
+
 def fixed_buckets(df: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
     """Rows per [edge, next edge)."""
     bucket = sum((F.col(column) >= e).cast("int") for e in edges)

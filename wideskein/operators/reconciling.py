@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wideskein.operators.profiling import EXACT, long_form
+from wideskein.operators.profiling import EXACT
 
 
 def counts(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -23,12 +23,23 @@ def reconcile(layers: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
     return joined.where(~same).select("key", *names)
 
 
-def compare_sums(a: DataFrame, b: DataFrame, columns: Sequence[str], rtol: float = 1e-9, atol: float = 1e-8) -> DataFrame:
-    """Per column: both exact sums, their difference, and whether they agree within tolerance."""
-    total = lambda df, name: long_form(df, columns).groupBy("name").agg(F.sum(F.col("value").cast(EXACT)).cast("double").alias(name))
-    both = total(a, "sum_a").join(total(b, "sum_b"), "name", "full_outer")
-    diff = F.abs(F.col("sum_a") - F.col("sum_b"))
-    return both.select("name", "sum_a", "sum_b", diff.alias("abs_diff"), F.coalesce(diff <= atol + rtol * F.abs("sum_b"), F.lit(False)).alias("close"))
+def compare_copies(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str], rtol: float = 1e-9, atol: float = 1e-8) -> DataFrame:
+    """Per column: rows and exact sum of either copy, the largest difference of a cell, and whether all cells agree within tolerance.
+
+    Cells are compared by key (unique in either copy), so equal sums of swapped values don't pass; a row or a value
+    that one side lacks doesn't agree.
+    """
+    side = lambda df, name: df.select(*keys, F.struct(*(F.col(c).cast("double").alias(c) for c in columns)).alias(name))
+    both = side(a, "a").join(side(b, "b"), list(keys), "full_outer")
+    total = lambda c: F.sum(F.col(c).cast(EXACT)).cast("double")
+
+    def made(c: str):
+        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
+        agrees = F.coalesce(F.abs(x - y) <= atol + rtol * F.abs(y), F.col("a").isNotNull() & F.col("b").isNotNull() & x.isNull() & y.isNull())
+        return F.struct(F.lit(c).alias("name"), F.count("a").alias("rows_a"), F.count("b").alias("rows_b"), total(f"a.{c}").alias("sum_a"), total(f"b.{c}").alias("sum_b"), F.max(F.abs(x - y)).alias("max_abs_diff"), F.bool_and(agrees).alias("close"))
+
+    row = both.agg(*(made(c).alias(f"_{i}") for i, c in enumerate(columns)))
+    return row.select(F.inline(F.array(*(F.col(f"_{i}") for i in range(len(columns))))))
 
 
 def compare_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -50,6 +61,15 @@ def schema_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields], "name string, type string")
 
 
+def observed_types(df: DataFrame) -> DataFrame:
+    """name, type of what the rows hold, column by column: bigint or double if every value reads as one, else string; void without values."""
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    fits = lambda c, kind: F.count(text(c)) == F.count(text(c).try_cast(kind))
+    seen = lambda c: F.when(F.count(text(c)) == 0, "void").when(fits(c, "bigint"), "bigint").when(fits(c, "double"), "double").otherwise("string")
+    row = df.agg(*(seen(c).alias(f"_{i}") for i, c in enumerate(df.columns)))
+    return row.select(F.inline(F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"_{i}").alias("type")) for i, c in enumerate(df.columns)))))
+
+
 def schema_difference(expected: DataFrame, found: DataFrame) -> DataFrame:
     """name, finding (missing, extra, type) from two tables of (name, type)."""
     joined = expected.withColumnRenamed("type", "expected").join(found.withColumnRenamed("type", "found"), "name", "full_outer")
@@ -68,6 +88,10 @@ def valid_days(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
 
 def share_shift(raw: DataFrame, kept: DataFrame, column: str) -> DataFrame:
     """Per value: its share before and after, and the change."""
-    share = lambda df, name: df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).select(column, (F.col("n") / F.lit(max(df.count(), 1))).alias(name))
+
+    def share(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        return counted.select(column, (F.col("n") / counted.agg(F.sum("n")).scalar()).alias(name))
+
     joined = share(raw, "share_raw").join(share(kept, "share_kept"), column, "full_outer").na.fill(0.0, ["share_raw", "share_kept"])
     return joined.withColumn("shift", F.col("share_kept") - F.col("share_raw"))

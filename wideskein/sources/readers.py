@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,8 @@ TELEMETRY = T.StructType(
 ALERTS = T.StructType([T.StructField(n, T.StringType()) for n in ("timestamp", "job_name", "step_name", "error", "status", "run_id", "resolved_at")])
 
 
-#: Headers of all files together up to this many characters are broadcast.
-BROADCAST_HEADERS = 64 << 20
+#: Up to this many files' header widths are broadcast (about 100 bytes each).
+BROADCAST_HEADERS = 500_000
 
 
 def tab_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -34,51 +34,66 @@ def tab_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
-def tab_headers(lines: DataFrame) -> DataFrame:
-    """file, header, names: each file's first line, found in the split that begins the file, for all files in one job."""
-    first = lines.where("block = 0").groupBy("file").agg(F.min_by("line", "row").alias("header"))
-    return first.withColumn("names", tab_fields(F.col("header")))
+def tab_headers(lines: DataFrame, timestamp: str | int | None = 0) -> DataFrame:
+    """file, header, header_row, names, n_names and ts_at (place of ``timestamp`` from 1, 0 without): each file's first line, found in the split that begins the file, for all files in one job."""
+    first = lines.where("block = 0").groupBy("file").agg(F.min(F.struct("row", "line")).alias("first"))
+    named = first.select("file", F.col("first.line").alias("header"), F.col("first.row").alias("header_row"), tab_fields(F.col("first.line")).alias("names"))
+    at = F.lit(0) if timestamp is None else F.lit(timestamp + 1) if isinstance(timestamp, int) else F.array_position("names", timestamp).cast("int")
+    return named.withColumns({"n_names": F.size("names"), "ts_at": at})
 
 
-def wide_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """file, names, fields, n_fields and values of every row but the header.
+def sensor_names(spark: SparkSession, path: str | Sequence[str], timestamp: str | int | None = 0) -> DataFrame:
+    """file, pos, name of the values of :func:`good_rows`: joined to a profile, not carried by every row."""
+    headers = tab_headers(tab_lines(spark, path), timestamp)
+    rest = F.filter("names", lambda _, i: i + 1 != F.col("ts_at"))
+    return headers.select("file", F.posexplode(rest).alias("pos", "name"))
+
+
+def wide_rows(spark: SparkSession, path: str | Sequence[str], timestamp: str | int | None = 0) -> DataFrame:
+    """file, block, row, n_names, ts_at, fields, n_fields and values of every line but the first of a file.
 
     ``values`` is an array of doubles, null for fields that are no numbers. One tab at the end of a line is
     stripped. Files may differ in width; a row is checked against its own file's header by :func:`bad_rows`.
-    Headers are broadcast up to ``BROADCAST_HEADERS`` characters and joined by a shuffle beyond.
+    ``timestamp`` is a name, a position or none. Header widths are broadcast up to ``BROADCAST_HEADERS`` files and
+    joined by a shuffle beyond.
     """
     lines = tab_lines(spark, path)
-    headers = tab_headers(lines)
-    if headers.agg(F.coalesce(F.sum(F.length("header")), F.lit(0))).first()[0] <= BROADCAST_HEADERS:
+    headers = tab_headers(lines, timestamp).select("file", "header_row", "n_names", "ts_at")
+    if headers.count() <= BROADCAST_HEADERS:
         headers = F.broadcast(headers)
-    joined = lines.join(headers, "file").where(F.col("line") != F.col("header"))
-    fields = joined.select("file", "names", tab_fields(F.col("line")).alias("fields"))
-    return fields.select("file", "names", "fields", F.size("fields").alias("n_fields"), F.transform("fields", lambda v: v.try_cast("double")).alias("values"))
+    joined = lines.join(headers, "file").where((F.col("block") != 0) | (F.col("row") != F.col("header_row")))
+    fields = joined.select("file", "block", "row", "n_names", "ts_at", tab_fields(F.col("line")).alias("fields"))
+    return fields.select("*", F.size("fields").alias("n_fields"), F.transform("fields", lambda v: v.try_cast("double")).alias("values"))
+
+
+def _wrong() -> Column:
+    return (F.col("n_fields") != F.col("n_names")) | F.exists("values", lambda v: v.isNull())
 
 
 def bad_rows(rows: DataFrame) -> DataFrame:
-    """file, expected, found and sample of the rows with a wrong field count or a field that is no number."""
-    wrong = (F.col("n_fields") != F.size("names")) | F.exists("values", lambda v: v.isNull())
-    return rows.where(wrong).select("file", F.size("names").alias("expected"), F.col("n_fields").alias("found"), F.substring(F.array_join("fields", "\t"), 1, 200).alias("sample"))
+    """file, block, row, expected, found and sample of the rows with a wrong field count or a field that is no number; a header line inside a file is one of them."""
+    return rows.where(_wrong()).select("file", "block", "row", F.col("n_names").alias("expected"), F.col("n_fields").alias("found"), F.substring(F.array_join("fields", "\t"), 1, 200).alias("sample"))
+
+
+def bad_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """:func:`bad_rows` with ``line``, the line's number in its file from 1: lines of the splits before it, counted once a split, and its place in its own."""
+    splits = tab_lines(spark, path).groupBy("file", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    found = bad_rows(wide_rows(spark, path)).join(starts, ["file", "block"])
+    return found.select("file", (F.col("before") + F.col("row") - F.col("first") + 1).alias("line"), "expected", "found", "sample")
 
 
 def strict_rows(rows: DataFrame) -> DataFrame:
     """``rows`` that passes only if no row is bad; the first bad row fails the job with its file and counts."""
-    wrong = (F.col("n_fields") != F.size("names")) | F.exists("values", lambda v: v.isNull())
-    message = F.format_string("bad row in %s: %d fields, %d expected", "file", "n_fields", F.size("names"))
-    return rows.withColumn("values", F.when(wrong, F.raise_error(message)).otherwise(F.col("values")))
+    message = F.format_string("bad row in %s: %d fields, %d expected", "file", "n_fields", "n_names")
+    return rows.withColumn("values", F.when(_wrong(), F.raise_error(message)).otherwise(F.col("values")))
 
 
-def good_rows(rows: DataFrame, timestamp: str | int | None = 0) -> DataFrame:
-    """file, names, ts, values without the timestamp column, of the rows that are whole. ``timestamp`` is a name, a position or none."""
-    whole = rows.where((F.col("n_fields") == F.size("names")) & ~F.exists("values", lambda v: v.isNull()))
-    if timestamp is None:
-        return whole.select("file", "names", F.lit(None).cast("double").alias("ts"), "values")
-    at = F.lit(timestamp + 1) if isinstance(timestamp, int) else F.array_position("names", timestamp).cast("int")
-    placed = whole.select("file", F.col("names").alias("_names"), F.col("values").alias("_values"), at.alias("_at"))
-    rest = lambda c: F.filter(c, lambda _, i: i + 1 != F.col("_at"))
-    ts = F.when(F.col("_at") > 0, F.get("_values", F.col("_at") - 1))
-    return placed.select("file", rest("_names").alias("names"), ts.alias("ts"), rest("_values").alias("values"))
+def good_rows(rows: DataFrame) -> DataFrame:
+    """file, ts, values without the timestamp column, of the rows that are whole. Names come from :func:`sensor_names`."""
+    whole = rows.where(~_wrong())
+    return whole.select("file", F.when(F.col("ts_at") > 0, F.get("values", F.col("ts_at") - 1)).alias("ts"), F.filter("values", lambda _, i: i + 1 != F.col("ts_at")).alias("values"))
 
 
 def column_form(rows: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -92,18 +107,30 @@ def tab_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     return spark.read.csv(path, schema=schema, sep="\t", header=True, enforceSchema=True, maxColumns=len(names) + 2).drop("_pad")
 
 
-def sniff(spark: SparkSession, path: str) -> str:
-    """``;`` or ``,``, whichever the first line has more of."""
-    first = spark.read.text(path).limit(1).collect()
-    line = first[0][0] if first else ""
-    return ";" if line.count(";") > line.count(",") else ","
+def sniff(spark: SparkSession, path: str) -> DataFrame:
+    """file, header, sep: ``;`` or ``,`` of every file, whichever its first line has more of; all files in one job."""
+    first = tab_lines(spark, path).where("block = 0").groupBy("file").agg(F.min_by("line", "row").alias("header"))
+    n = lambda mark: F.regexp_count("header", F.lit(mark))
+    return first.withColumn("sep", F.when(n(";") > n(","), ";").otherwise(","))
 
 
 def delimited(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file as texts, delimiter sniffed, header names trimmed, flight from the file name."""
-    df = spark.read.csv(path, sep=sniff(spark, path), header=True, inferSchema=False)
-    names = [c.strip() for c in df.columns]
-    return df.withColumn("_stem", file_stem(F.col("_metadata.file_name"))).toDF(*names, "_stem")
+    """CSV files as texts, each with its own delimiter, header names trimmed, flight from the file name.
+
+    Files are scanned together by delimiter and header, one scan a kind; a column that some files lack is null there.
+    The driver gets one row a file, as it does to list them.
+    """
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for r in sniff(spark, path).collect():
+        kinds.setdefault((r.sep, r.header), []).append(r.file)
+    found = None
+    for (sep, _), files in sorted(kinds.items()):
+        df = spark.read.csv(files, sep=sep, header=True, inferSchema=False)
+        df = df.withColumn("_stem", file_stem(F.col("_metadata.file_name"))).toDF(*(c.strip() for c in df.columns), "_stem")
+        found = df if found is None else found.unionByName(df, allowMissingColumns=True)
+    if found is None:
+        raise ValueError(f"no rows and no header in {path}")
+    return found
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +165,14 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return raw.where(F.coalesce(*ALERTS.fieldNames()).isNotNull()).withColumns(times).orderBy(F.desc_nulls_last("timestamp"))
 
 
+def named_table(spark: SparkSession, table: str) -> DataFrame:
+    """A table or view by name; an unknown one is an error that lists what there is."""
+    if not spark.catalog.tableExists(table):
+        raise ValueError(f"no table {table}; found {sorted(t.name for t in spark.catalog.listTables())}")
+    return spark.table(table)
+
+
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
-    """name, type and nullability of a table's columns; no rows for an unknown table."""
+    """name, type, nullability and default (SQL text) of a table's columns; no rows for an unknown table."""
     fields = spark.table(table).schema.fields if spark.catalog.tableExists(table) else []
-    return spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in fields], "name string, type string, nullable boolean")
+    return spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable, f.metadata.get("CURRENT_DEFAULT")) for f in fields], "name string, type string, nullable boolean, default string")

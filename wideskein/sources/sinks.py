@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+import zstandard
+from pyarrow.fs import FileSystem
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +27,15 @@ def cast_copy(df: DataFrame, path: str, kind: str = "double") -> None:
     df.select(*(F.col(f"`{c}`").cast(kind).alias(c) for c in df.columns)).write.option("compression", "zstd").parquet(path)
 
 
-def load_days(df: DataFrame, path: str) -> None:
-    """Replace the (day, flight) partitions that ``df`` has and leave all others; loading twice equals loading once.
+def load_days(df: DataFrame, path: str, more: Sequence[str] = ()) -> None:
+    """Replace the (day, flight) partitions, split further by the columns ``more``, that ``df`` has and leave all others; loading twice equals loading once.
 
     Rows of a partition are sorted by time for row-group skipping. An empty frame changes nothing. Rows are
     rebalanced, not just dealt by key: Spark splits a day and flight that is too large for one task.
     """
     keyed = df.withColumn("event_date", F.to_date("time")).withColumn("flight_id", F.coalesce("flight_id", F.lit("")))
-    laid = keyed.hint("rebalance", "event_date", "flight_id").sortWithinPartitions("event_date", "flight_id", "time")
-    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("event_date", "flight_id").parquet(path)
+    laid = keyed.hint("rebalance", "event_date", "flight_id").sortWithinPartitions("event_date", "flight_id", *more, "time")
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("event_date", "flight_id", *more).parquet(path)
 
 
 def read_days(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -38,6 +43,40 @@ def read_days(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).withColumn("flight_id", F.coalesce("flight_id", F.lit("")))
 
 
+def read_version(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The newest version of a table of :func:`replace_version`; none if there is none."""
+    try:
+        versions = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return None if versions is None else spark.read.schema(schema).parquet(f"{path}/version={versions}")
+
+
+def replace_version(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df``, which may be made of the table's newest version, as its next one. Readers of the old version go on undisturbed."""
+    try:
+        last = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/version={last + 1}")
+    return spark.read.schema(df.schema).parquet(f"{path}/version={last + 1}")
+
+
+def ensure_table(spark: SparkSession, name: str, columns: str) -> None:
+    """Create the table if it isn't there; ``columns`` as in SQL, defaults included."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+
+
+def ensure_column(spark: SparkSession, table: str, name: str, kind: str, default: str) -> None:
+    """Add a column that the table lacks; rows that are there get its default, an SQL literal."""
+    if name not in spark.table(table).columns:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({name} {kind} DEFAULT {default})")
+
+
 def add_column(df: DataFrame, name: str, kind: str, default: object) -> DataFrame:
     """``df`` with a column that older files lack; its default where it is missing or null."""
     present = F.col(name) if name in df.columns else F.lit(None).cast(kind)
@@ -56,14 +95,31 @@ def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     (df.withColumnRenamed(first, "﻿" + first) if bom else df).coalesce(1).write.csv(path, header=True)
 
 
+def export_range_csv(df: DataFrame, folder: str, stem: str, time: str = "time") -> str:
+    """:func:`export_csv` with byte order mark under a name that carries the time range; that path."""
+    first, last = df.agg(F.date_format(F.min(time), "yyyyMMdd'T'HHmmss"), F.date_format(F.max(time), "yyyyMMdd'T'HHmmss")).first()
+    path = f"{folder}/{stem}_{first or 'none'}_{last or 'none'}"
+    export_csv(df, path, bom=True)
+    return path
+
+
 def export_per_flight(df: DataFrame, path: str) -> None:
     """One CSV folder per flight; rows without a flight are left out."""
     df.where(F.trim("flight_id") != "").hint("rebalance", "flight_id").write.partitionBy("flight_id").csv(path, header=True)
 
 
 def split_parts(df: DataFrame, path: str, parts: int) -> None:
-    """Rows dealt round robin into ``parts`` CSV files, header in each."""
-    df.repartition(parts).write.csv(path, header=True)
+    """Rows dealt round robin into ``parts`` CSV files, header in each; sizes differ by one at most.
+
+    Rows are numbered by what the tasks before hold, so ``df`` must come in the same order twice (a scan, a written table).
+    """
+    spot = F.monotonically_increasing_id()
+    placed = df.withColumns({"_task": F.shiftright(spot, 33), "_at": spot.bitwiseAND(F.lit((1 << 33) - 1))})
+    held = sorted(placed.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).collect())  # a row a task
+    starts = [(task, sum(n for _, n in held[:i])) for i, (task, n) in enumerate(held)]
+    table = F.broadcast(df.sparkSession.createDataFrame(starts or [(0, 0)], "_task long, _start long"))
+    numbered = placed.join(table, "_task").withColumn("_part", F.pmod(F.col("_start") + F.col("_at"), F.lit(parts)).cast("int"))
+    numbered.repartitionById(parts, F.col("_part")).drop("_task", "_at", "_start", "_part").write.csv(path, header=True)
 
 
 def tab_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,24 +129,54 @@ def tab_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_archive(df: DataFrame, path: str, columns: Sequence[str], codec: str = "bzip2", parts: int | None = None) -> None:
     """Compressed wide files with a header line in every file."""
-    rows = tab_text(df.repartition(parts) if parts else df, columns)
-    header = "\t".join(columns) + "\t"
+    write_lines(tab_text(df.repartition(parts) if parts else df, columns), path, "\t".join(columns) + "\t", codec)
+
+
+def write_lines(rows: DataFrame, path: str, header: str, codec: str = "none") -> None:
+    """Lines (column ``value``) as they are, under a header line in every file."""
     (rows.withColumnRenamed("value", header).write.option("compression", codec).option("header", "true").option("quote", "\u0000").option("sep", "\u0001").option("escape", "\u0000").csv(path))
 
 
+def zstd_copies(spark: SparkSession, path: str, into: str, level: int = 3) -> int:
+    """A ``.zst`` copy of every file behind ``path``, one task a file, streamed; the number of copies.
+
+    Spark reads such files but writes them only where Hadoop has its native library. A copy gets its name when it is
+    whole, so a task that is run again does no harm.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                fs, source = FileSystem.from_uri(file)
+                target = f"{FileSystem.from_uri(into)[1] if '://' in into or into.startswith('file:') else into}/{source.rsplit('/', 1)[1]}.zst"
+                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                part = f"{target.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+                with fs.open_input_stream(source) as src, fs.open_output_stream(part, compression=None) as dst:
+                    zstandard.ZstdCompressor(level=level).copy_stream(src, dst)
+                fs.move(part, target)
+            yield batch
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.repartition(F.col("path")).mapInArrow(run, "path string").count()
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A one-row summary as JSON, keys sorted."""
     df.select(*sorted(df.columns)).coalesce(1).write.mode("overwrite").json(path)
 
 
-def observed_write(df: DataFrame, path: str, started: float, clock) -> dict:
-    """Write parquet and say how many rows, seconds and rows a second it took; the count comes with the write, without a second pass."""
+def observed_write(df: DataFrame, path: str, started: float, clock, bytes_in: int | None = None) -> dict:
+    """Write parquet and say how many rows, seconds, rows a second and bytes it took, and the ratio to the bytes read.
+
+    The count comes with the write, without a second pass; sizes come from the files' metadata.
+    """
     from pyspark.sql import Observation
 
     seen = Observation("write")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").option("compression", "zstd").parquet(path)
     seconds = max(clock() - started, 1e-9)
-    return {"rows": seen.get["rows"], "seconds": seconds, "rows_per_s": seen.get["rows"] / seconds}
+    out = file_sizes(df.sparkSession, path).where(F.col("file").endswith(".parquet")).agg(F.sum("bytes")).first()[0] or 0
+    return {"rows": seen.get["rows"], "seconds": seconds, "rows_per_s": seen.get["rows"] / seconds, "bytes_in": bytes_in, "bytes_out": out, "ratio": bytes_in / out if bytes_in and out else None}
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wideskein.sources.sinks import load_days
+from wideskein.sources.sinks import load_days, read_days, read_version, replace_version
 
 
 def arriving(spark: SparkSession, path: str, schema: StructType, kind: str = "parquet", per_trigger: int = 100) -> DataFrame:
@@ -22,42 +24,38 @@ def in_calendar(first: str, last: str | None = None):
     return F.coalesce(day.between(F.lit(first).cast("date"), upper), F.lit(False))
 
 
-def load_arrivals(stream: DataFrame, table: str, quarantine: str, checkpoint: str, first: str, last: str | None = None, keys: tuple[str, ...] = ("flight_id", "time")):
-    """Start a query that loads all files there are: rows by day and flight, out-of-range rows to quarantine.
+def load_arrivals(stream: DataFrame, table: str, quarantine: str, checkpoint: str, first: str, last: str | None = None, every: str | None = None):
+    """Start a query that appends arriving rows by day, flight and batch, and out-of-range rows to quarantine.
 
-    A batch rewrites the (day, flight) partitions it touches together with what they held, without repeats, so
-    a replayed batch changes nothing; quarantine is written per batch, so a replay overwrites its own rows.
+    All files there are, or every so often (``every``, as ``10 seconds``). A batch writes what it holds and nothing
+    else, so its cost doesn't grow with the table; a replayed batch replaces its own files. :func:`settled` reads the
+    table with one row a key, :func:`compact` rewrites it so.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
         rows = rows.persist()
         valid = in_calendar(first, last)
-        rows.where(~valid).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
-        fresh = rows.where(valid).drop("source_file").withColumn("event_date", F.to_date("time"))
-        held = _existing(spark, table, fresh, f"{checkpoint}/_held")
-        load_days(merged(held, fresh).drop("event_date"), table)
+        marked = rows.withColumn("batch", F.lit(number))
+        marked.where(~valid).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
+        load_days(marked.where(valid).drop("source_file"), table, ["batch"])
         rows.unpersist()
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def merged(held: DataFrame | None, fresh: DataFrame) -> DataFrame:
-    return (fresh if held is None else held.unionByName(fresh)).dropDuplicates()
+def settled(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """The rows of a table of :func:`load_arrivals`, of each key the one from the newest batch; of one batch's any one, always the same."""
+    full = StructType([*schema.fields, *StructType.fromDDL("event_date date, batch int").fields])
+    rows = read_days(spark, table, full)
+    rest = [c for c in rows.columns if c not in keys]
+    top = F.max(F.struct("batch", *(c for c in rest if c != "batch"))).alias("top")
+    return rows.groupBy(*keys).agg(top).select(*(F.col(c) if c in keys else F.col(f"top.{c}").alias(c) for c in [*schema.fieldNames(), "event_date"]))
 
 
-def _existing(spark: SparkSession, table: str, fresh: DataFrame, aside: str) -> DataFrame | None:
-    """What the table already holds of the fresh rows' days and flights, written aside so that the table can be replaced."""
-    try:
-        held = spark.read.schema(fresh.schema).parquet(table)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return None
-    touched = fresh.select("event_date", "flight_id").distinct()
-    kept = held.withColumn("flight_id", F.coalesce("flight_id", F.lit(""))).join(touched, ["event_date", "flight_id"], "left_semi").select(*fresh.columns)
-    kept.write.mode("overwrite").parquet(aside)
-    return spark.read.schema(fresh.schema).parquet(aside)
+def compact(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str], into: str) -> None:
+    """The settled rows as a table of days and flights of its own."""
+    load_days(settled(spark, table, schema, keys).drop("event_date"), into)
 
 
 def without_repeats(stream: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
@@ -71,15 +69,19 @@ def batch_health(progress: list[dict]) -> list[dict]:
 
 
 def new_alerts(spark: SparkSession, batch: DataFrame, state_path: str, keys: list[str]) -> DataFrame:
-    """Alerts of a batch whose status is new or changed against the last seen one per key.
+    """Alerts of a batch that are new: a FAILURE where the last status seen of the key is another or none, and a FAILURE that is RESOLVED.
 
-    The last status per key is a table, replaced after the batch; a key's first FAILURE counts as new.
+    The last status of every key is a table; this batch's becomes its next version, once the changes are written
+    beside it, so a batch that fails halfway is done anew against the old one.
     """
-    latest = batch.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("timestamp")))).where("_n = 1").drop("_n")
-    try:
-        known = spark.read.parquet(state_path).select(*keys, F.col("status").alias("known"))
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        known = latest.select(*keys, F.lit(None).cast("string").alias("known")).limit(0)
-    return latest.join(known, keys, "left").where("known is null and status = 'FAILURE' or known <> status")
+    latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*(c for c in batch.columns if c not in keys)), "timestamp").alias("row")).select(*keys, "row.*")
+    schema = StructType([*(batch.schema[k] for k in keys), *StructType.fromDDL("status string").fields])
+    known = read_version(spark, f"{state_path}/last", schema)
+    if known is None:
+        known = spark.createDataFrame([], schema)
+    met = latest.join(known.withColumnRenamed("status", "known"), keys, "left")
+    changed = met.where("status = 'FAILURE' and not (known <=> 'FAILURE') or status = 'RESOLVED' and known = 'FAILURE'")
+    changed = replace_version(spark, changed, f"{state_path}/changes")
+    now = known.join(latest.select(*keys), keys, "left_anti").unionByName(latest.select(*keys, "status"))
+    replace_version(spark, now, f"{state_path}/last")
+    return changed
