@@ -12,9 +12,11 @@ highest symbols down; windows of words decide, and are compared as words.
    the rounds looked at beside it). Each window that goes on is represented by the highest symbol that its own words
    decide, of those the one whose deciding words hash least, and by all its words if it decides none. Windows share
    representatives: there is about one for four words. Only those that several documents have go on.
-3. Windows of shared representatives are grouped by their words themselves, and the smallest document of each is
-   found by map-side minima. Names are hashes, but no word is removed on a hash alone. (Step 1 goes by 128 bits; were
-   two of its names ever equal for different words, words would stay, none would go.)
+3. Windows of shared representatives are grouped by a key, and the smallest document of each is found by map-side
+   minima, with the first and last of the group's windows in order of their words. Where those are the same words the
+   group is one window; others, whose keys clash, are grouped by their words. So names are hashes, but no word is
+   removed on a hash alone. (Step 1 goes by 128 bits; were two of its names ever equal for different words, words
+   would stay, none would go.)
 
 Shared triples and names are sent to the texts by broadcast, up to ``BROADCAST_TRIPLES`` and ``BROADCAST_NAMES`` of
 them. Beyond that they are gathered by text and joined with the texts by a shuffle; the steps are the same.
@@ -34,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest as digest
 
@@ -341,9 +343,21 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, broadcast_triples: i
     names = cut(ends(symbols, "name").select("name"), "repeat-names")
     named = _send(sent.rows, names, symbols.select("name", "text_hash"), "names", broadcast_names, lambda c: np.unique(c[0].view(np.uint64)))
     windows = cut(shared_windows(sent, named, window), "repeat-windows")
+    keyed = windows.withColumn("key", _key(F.col("words")))
     # As a table of its own it leaves the join two plain shuffles, whose large partitions Spark splits.
-    least = cut(ends(windows, "words").select("words", "low"), "repeat-least")
-    return windows.join(least, "words").where("low < doc_id").select("doc_id", "text_hash", "starts")
+    least = keyed.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("words").alias("first"), F.max("words").alias("last")).where("low < high")
+    least = cut(least.select("key", "low", (F.col("first") == F.col("last")).alias("one")), "repeat-least")
+    found = keyed.join(least.where("one"), "key").where("low < doc_id").select("doc_id", "text_hash", "starts")
+    if not least.where("not one").isEmpty():
+        clashing = keyed.join(least.where("not one"), "key", "left_semi").drop("key")
+        by_words = cut(ends(clashing, "words").select("words", "low"), "repeat-clashes")
+        found = found.unionByName(clashing.join(by_words, "words").where("low < doc_id").select("doc_id", "text_hash", "starts"))
+    return found
+
+
+def _key(words: Column) -> Column:
+    """What windows are grouped by; those with the key of other words, if there are any, are grouped by their words once more."""
+    return F.xxhash64(words)
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, **limits: int) -> DataFrame:
