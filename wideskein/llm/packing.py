@@ -36,8 +36,8 @@ VOCABULARY = "word_bpe_49k.json"
 #: Pivots after which the basis is inverted anew.
 REFRESH = 1000
 #: Words and parts of words whose ids a Python worker keeps.
-_WORD_MEMO = 300_000
-_UNIT_MEMO = 250_000
+_WORD_MEMO = 100_000
+_UNIT_MEMO = 60_000
 
 
 #: Characters on which the splitter below and the vocabulary's agree for certain, and their lower-case splitter.

@@ -46,7 +46,7 @@ REJECT = 0.5
 PREFIXES = range(4, 8)
 _WORDS = re.compile(r"[^\W\d_]+")
 #: Words whose features a Python worker keeps.
-_MEMO = 60_000
+_MEMO = 40_000
 
 
 def word_features(word: str) -> list[str]:
