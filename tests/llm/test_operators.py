@@ -353,11 +353,6 @@ def test_repeated_windows_are_removed(spark, docs, rows, limits):
     assert got == brute_kept(rows)
 
 
-def test_windows_with_clashing_keys_are_told_apart_by_words(spark, docs, rows, monkeypatch):
-    monkeypatch.setattr(recompression, "_key", lambda words: F.xxhash64(words) % 50)
-    assert Counter(map(tuple, recompression.kept_digests(docs).collect())) == brute_kept(rows)
-
-
 def test_repeats_of_other_widths_and_texts(spark, docs, rows):
     got = Counter(map(tuple, recompression.kept_digests(docs, window=5).collect()))
     assert got == brute_kept(rows, 5)
