@@ -297,6 +297,26 @@ def test_near_copies_of_five_word_shingles(spark, dense):
     assert Counter(kept) == Counter(want) and 8 < len(want) < 70
 
 
+def test_a_large_group_of_near_copies_is_connected_by_its_leaders(spark):
+    rng = np.random.default_rng(2)
+    base = [f"w{x}" for x in rng.integers(0, 4000, 120)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        copy[int(rng.integers(0, 120))] = f"e{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(f"v{x}" for x in rng.integers(0, 4000, 60))) for i in range(40)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("text_hash"))
+    arrow = lambda of: texts.select("text_hash", "text").mapInArrow(near_copies._over_texts(of), "text_hash long, found array<long>")
+    dense = 16
+    postings, members = near_copies._postings(arrow(near_copies.band_keys), dense)
+    stars = near_copies._stars(postings, members, arrow(lambda s: s)).cache()
+    assert 299 <= stars.count() <= 3 * 300
+    assert near_copies._blocks(members, stars, dense).count() == 0
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), dense=dense).collect()
+    assert sorted(r.doc_id for r in kept) == [0, *range(1000, 1040)]
+
+
 @pytest.mark.parametrize(("dense", "hot_share"), [(4096, 512), (6, 512), (6, 3), (3, 10**9)])
 def test_links_of_dense_clusters(spark, dense, hot_share):
     rng = np.random.default_rng(4)
