@@ -107,8 +107,8 @@ def screen(labelled: DataFrame, least: int = LEAST_DOCS) -> tuple[list[tuple[str
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             memo: dict[str, tuple] = {}
             for batch in slices(batches, 128):
-                found = [f for text in batch.column(0).to_pylist() for f in features_in(text, known, memo)]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["feature"])
+                found = Counter(f for text in batch.column(0).to_pylist() for f in features_in(text, known, memo))
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["feature", "n"])
 
         return run
 
@@ -116,13 +116,13 @@ def screen(labelled: DataFrame, least: int = LEAST_DOCS) -> tuple[list[tuple[str
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return [], n1, n0
-    toxic = labelled.where("toxic = 1").select("text").mapInArrow(listed(None), "feature string").groupBy("feature").agg(F.count(F.lit(1)).alias("n1"))
+    toxic = labelled.where("toxic = 1").select("text").mapInArrow(listed(None), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n1"))
     toxic = cut(toxic.where(F.col("n1") >= least), "toxic-features")
     tested = toxic.count()
     # Clean documents count only features that toxic ones have; up to LISTED of them their readers get the list.
     known = _plain(toxic.select("feature").toPandas()["feature"]) if tested <= LISTED else None
-    clean = labelled.where("toxic = 0").select("text").mapInArrow(listed(known), "feature string")
-    clean = clean.join(toxic.select("feature"), "feature", "left_semi").groupBy("feature").agg(F.count(F.lit(1)).alias("n0"))
+    clean = labelled.where("toxic = 0").select("text").mapInArrow(listed(known), "feature string, n long")
+    clean = clean.join(toxic.select("feature"), "feature", "left_semi").groupBy("feature").agg(F.sum("n").alias("n0"))
     both = toxic.join(clean, "feature", "left").na.fill(0, ["n0"])
     p1, p0 = (F.col("n1") + 0.5) / (n1 + 1.0), (F.col("n0") + 0.5) / (n0 + 1.0)
     # Log-likelihood gain of the feature's own toxic share over the common one; chance reaches log(tested) among so many features.
