@@ -109,6 +109,27 @@ def running_total(df: DataFrame, group: list[str], order: list[str], value: str,
     return summed.join(base, [*group, "_bucket"]).withColumn(out, (F.col("_base") + F.col("_before")).cast("long")).drop("_bucket", "_before", "_base")
 
 
+def in_order(df: DataFrame, order: list[Column], out: str, name: str) -> DataFrame:
+    """Number the rows from 0 without gaps in the order given, however many agree in it; the numbered rows are a table.
+
+    Rows are dealt by range, with a row's place in the input as the last key, so equal rows fill as many ranges as they
+    need. What is summed over all is a count for each range.
+    """
+    place = F.monotonically_increasing_id()  # range in the upper bits, row within it in the lower 33
+    dealt = df.withColumn("_tie", place).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    table = cut(dealt.withColumn("_at", place), name)
+    part = F.shiftright("_at", 33).alias("_part")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = table.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    at = (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")
+    return table.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn(out, at).drop("_at", "_part", "_start")
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Arrow batches of this session hold few rows: a Python worker and the JVM beside it hold a batch or two whole, and texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def slices(batches: Iterable, rows: int = 256) -> Iterator:
     """Arrow batches in pieces of at most ``rows`` rows, so that a task holds few texts at once."""
     for batch in batches:

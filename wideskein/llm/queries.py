@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm import exact_dedup, langid, mixing, packing, recompression, secrets, sharding, simhash, sketches, toxicity
+from wideskein.llm import exact_dedup, langid, mixing, packing, prefix_trie, recompression, resampling, secrets, sharding, simhash, sketches, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,8 +56,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents")).drop("features")
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+#: CRC-32 of the UTF-8 bytes of the texts ``s`` of a table ``spelled``, as a table ``crcs`` (s, crc).
+SQL_CRCS = """
+            steps AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)),
+            crcs AS (
+                SELECT s, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(s))), lambda k: CAST('0x' || substr(hex(encode(s)), 2 * k + 1, 2) AS BIGINT))),
+                    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+                FROM (SELECT DISTINCT s FROM spelled), (SELECT list(v ORDER BY i) AS t FROM steps)
+            )"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op6_recompression, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op6_recompression, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources, op10_secret_scan, op11_target_resampling, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -81,4 +99,56 @@ def oracle_sql() -> dict[str, str]:
             SELECT s.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
             FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
         """,
+        "op11_target_resampling": rf"""
+            WITH texts AS (
+                SELECT row_number() OVER () AS r, doc_id, false AS goal, text FROM documents UNION ALL SELECT NULL, NULL, true, text FROM benchmark
+            ),
+            split AS (
+                SELECT r, doc_id, goal, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts
+            ),
+            words AS (SELECT r, goal, unnest(ws) AS s FROM split),
+            spelled AS (SELECT s FROM words),
+            {SQL_CRCS},
+            counts AS (SELECT crc % 10000 AS bucket, count(*) FILTER (WHERE NOT goal) AS s, count(*) FILTER (WHERE goal) AS t FROM words JOIN crcs USING (s) GROUP BY 1),
+            sums AS (SELECT count(*) FILTER (WHERE NOT goal) AS big_s, count(*) FILTER (WHERE goal) AS big_t FROM words),
+            gains AS (
+                SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST(big_s + 10000 AS DOUBLE)) / (CAST(s + 1 AS DOUBLE) * CAST(big_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM counts, sums
+            ),
+            means AS (SELECT r, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM words JOIN crcs USING (s) JOIN gains ON crc % 10000 = bucket WHERE NOT goal GROUP BY r),
+            scored AS (
+                SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+                FROM split LEFT JOIN means USING (r) WHERE NOT goal
+            ),
+            ranks AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, 10 * count(*) OVER () // 100 AS most FROM scored WHERE n_features >= 20)
+            SELECT doc_id, n_features, weight, score, CASE WHEN rank <= most THEN rank END AS rank FROM scored LEFT JOIN ranks USING (r)
+        """,
+        "op13_prefix_trie": rf"""
+            WITH turns AS (
+                SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+                FROM conversations WHERE conv_id IS NOT NULL
+            ),
+            own AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY i) AS ts FROM turns GROUP BY 1),
+            spelled AS (SELECT CAST(conv_id AS VARCHAR) AS s FROM own),
+            {SQL_CRCS},
+            rebuilt AS (
+                SELECT o.conv_id, list_concat(coalesce(b.ts[1:crc % 4], []), o.ts[crc % 4 + 1:]) AS ts
+                FROM own o JOIN crcs ON s = CAST(o.conv_id AS VARCHAR) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+            ),
+            paths AS (SELECT conv_id, d, ts[1:d] AS node, d = len(ts) AS whole FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM rebuilt)),
+            nodes AS (
+                SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends_sha256,
+                    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(node[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+                FROM paths GROUP BY node, d
+            ),
+            family AS (
+                SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.node[1:n.d] = n.node) AS n_children
+                FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.node = n.node[1:n.d - 1]
+            ),
+            above AS (SELECT n_children, saved, node[1:a] AS node, a AS d FROM (SELECT *, unnest(range(d + 1)) AS a FROM family)),
+            totals AS (SELECT node, d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1, 2)
+            SELECT f.conv_id, f.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+            FROM family f JOIN totals t ON t.d = f.d AND t.node = f.node
+        """,
     }
