@@ -275,8 +275,8 @@ def test_near_copies_without_ids_are_decided_by_row(spark):
     assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (None, b), (None, c), (7, rows[-1][1])])
 
 
-@pytest.mark.parametrize("dense", [2048, 3])
-def test_near_copies_of_five_word_shingles(spark, dense):
+@pytest.mark.parametrize(("short", "held"), [(2048, 10**6), (3, 10**6), (2, 900)])
+def test_near_copies_of_five_word_shingles(spark, short, held):
     rng = np.random.default_rng(8)
     rows = [(0, None), (1, ""), (2, " \t"), (3, "One two"), (4, "one TWO"), (None, "clean text without an id")]
     for base in range(8):
@@ -293,7 +293,7 @@ def test_near_copies_of_five_word_shingles(spark, dense):
     for group in classes(list(sets), alike):
         ids = [d for d, t in rows if t in group]
         want.add(min((d for d in ids if d is not None), default=None))
-    kept = [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), dense=dense).collect()]
+    kept = [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), None, short, held).collect()]
     assert Counter(kept) == Counter(want) and 8 < len(want) < 70
 
 
@@ -306,14 +306,16 @@ def test_a_large_group_of_near_copies_is_connected_by_its_leaders(spark):
         copy[int(rng.integers(0, 120))] = f"e{i}"
         rows.append((i, " ".join(copy)))
     rows += [(1000 + i, " ".join(f"v{x}" for x in rng.integers(0, 4000, 60))) for i in range(40)]
-    texts = spark.createDataFrame(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("text_hash"))
-    arrow = lambda of: texts.select("text_hash", "text").mapInArrow(near_copies._over_texts(of), "text_hash long, found array<long>")
-    dense = 16
-    postings, members = near_copies._postings(arrow(near_copies.band_keys), dense)
-    stars = near_copies._stars(postings, members, arrow(lambda s: s)).cache()
-    assert 299 <= stars.count() <= 3 * 300
-    assert near_copies._blocks(members, stars, dense).count() == 0
-    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), dense=dense).collect()
+    docs, rule = spark.createDataFrame(rows, "doc_id long, text string"), near_copies.Rule()
+    bands = near_copies.banded(docs, rule)
+    postings, members = near_copies._postings(bands)
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    sets = texts.mapInArrow(near_copies._with_sets(rule), "text_hash long, signature binary, found array<long>").cache()
+    pairs = near_copies._leading(postings, members).cache()
+    stars = near_copies.confirmed(pairs, sets, rule).cache()
+    assert pairs.count() <= 3 * 340 and 299 <= stars.count() <= 3 * 300
+    assert near_copies._classed(members, stars, bands.select("text_hash", "n_shingles")).count() == 0
+    kept = near_copies.keep_one(docs, None, 16, 100).collect()
     assert sorted(r.doc_id for r in kept) == [0, *range(1000, 1040)]
 
 

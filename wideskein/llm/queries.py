@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideskein.llm import exact_dedup, langid, mixing, packing, prefix_trie, recompression, resampling, secrets, sharding, simhash, sketches, toxicity
+from wideskein.llm import exact_dedup, langid, mixing, near_copies, packing, prefix_trie, recompression, resampling, secrets, sharding, simhash, sketches, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,6 +60,14 @@ def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+#: The contract of op12: pairs of words, A-Z lowered, texts without words alone.
+OP12_RULE = near_copies.Rule(width=2, percent=80, ascii_only=True, empty_linked=False)
+
+
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_duplicates(_read(spark, sf_dir, "documents"), OP12_RULE)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
 
@@ -75,7 +83,7 @@ SQL_CRCS = """
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op6_recompression, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources, op10_secret_scan, op11_target_resampling, op13_prefix_trie)}
+    return {f.__name__: f for f in (op1_pack_cutting_stock, op2_virtual_slots, op3_exact_dedup, op4_language_id, op5_simhash_near_dedup, op6_recompression, op7_bottom_k_fingerprints, op8_toxicity, op9_mix_sources, op10_secret_scan, op11_target_resampling, op12_minhash_near_dedup, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -124,6 +132,29 @@ def oracle_sql() -> dict[str, str]:
             ranks AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, 10 * count(*) OVER () // 100 AS most FROM scored WHERE n_features >= 20)
             SELECT doc_id, n_features, weight, score, CASE WHEN rank <= most THEN rank END AS rank FROM scored LEFT JOIN ranks USING (r)
         """,
+        "op12_minhash_near_dedup": r"""
+            WITH RECURSIVE rows AS (
+                SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+            ),
+            cut AS (SELECT r, doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS gs FROM rows),
+            sets AS (SELECT list_sort(gs) AS gs, min(r) AS s FROM cut WHERE len(gs) > 0 GROUP BY 1),
+            spread AS (SELECT s, len(gs) AS n, unnest(gs) AS g FROM sets),
+            often AS (SELECT g, count(*) AS times FROM spread GROUP BY g),
+            placed AS (SELECT s, n, g, row_number() OVER (PARTITION BY s ORDER BY times, g) AS at FROM spread JOIN often USING (g)),
+            firsts AS (SELECT s, n, g FROM placed WHERE at <= n - ceil(n * 80 / 100) + 1),
+            pairs AS (SELECT DISTINCT a.s AS a, b.s AS b FROM firsts a JOIN firsts b ON a.g = b.g AND a.s < b.s AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+            links AS (
+                SELECT a, b FROM (SELECT a, b, len(list_intersect(x.gs, y.gs)) AS both, len(x.gs) + len(y.gs) AS total FROM pairs JOIN sets x ON x.s = a JOIN sets y ON y.s = b)
+                WHERE 100 * both >= 80 * (total - both)
+            ),
+            edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+            reached AS (SELECT s AS a, s AS b FROM sets UNION SELECT reached.a, edges.b FROM reached JOIN edges ON reached.b = edges.a),
+            ids AS (SELECT s, min(doc_id) AS low FROM cut JOIN sets ON list_sort(cut.gs) = sets.gs GROUP BY s),
+            least_ids AS (SELECT a AS s, min(low) AS component_id FROM reached JOIN ids ON b = ids.s GROUP BY a)
+            SELECT doc_id, CAST(len(c.gs) AS BIGINT) AS n_shingles, CASE WHEN len(c.gs) = 0 THEN doc_id ELSE component_id END AS component_id,
+                doc_id IS NOT DISTINCT FROM CASE WHEN len(c.gs) = 0 THEN doc_id ELSE component_id END AS kept
+            FROM cut c LEFT JOIN sets ON list_sort(c.gs) = sets.gs LEFT JOIN least_ids USING (s)
+        """,
         "op13_prefix_trie": rf"""
             WITH turns AS (
                 SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
