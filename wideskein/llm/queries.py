@@ -140,12 +140,12 @@ def oracle_sql() -> dict[str, str]:
             sets AS (SELECT list_sort(gs) AS gs, min(r) AS s FROM cut WHERE len(gs) > 0 GROUP BY 1),
             spread AS (SELECT s, len(gs) AS n, unnest(gs) AS g FROM sets),
             often AS (SELECT g, count(*) AS times FROM spread GROUP BY g),
-            placed AS (SELECT s, n, g, row_number() OVER (PARTITION BY s ORDER BY times, g) AS at FROM spread JOIN often USING (g)),
-            firsts AS (SELECT s, n, g FROM placed WHERE at <= n - ceil(n * 80 / 100) + 1),
+            placed AS (SELECT s, n, g, row_number() OVER (PARTITION BY s ORDER BY times, g) AS nth FROM spread JOIN often USING (g)),
+            firsts AS (SELECT s, n, g FROM placed WHERE nth <= n - (80 * n + 99) // 100 + 1),
             pairs AS (SELECT DISTINCT a.s AS a, b.s AS b FROM firsts a JOIN firsts b ON a.g = b.g AND a.s < b.s AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
             links AS (
-                SELECT a, b FROM (SELECT a, b, len(list_intersect(x.gs, y.gs)) AS both, len(x.gs) + len(y.gs) AS total FROM pairs JOIN sets x ON x.s = a JOIN sets y ON y.s = b)
-                WHERE 100 * both >= 80 * (total - both)
+                SELECT a, b FROM (SELECT a, b, len(list_intersect(x.gs, y.gs)) AS common, len(x.gs) + len(y.gs) AS total FROM pairs JOIN sets x ON x.s = a JOIN sets y ON y.s = b)
+                WHERE 100 * common >= 80 * (total - common)
             ),
             edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
             reached AS (SELECT s AS a, s AS b FROM sets UNION SELECT reached.a, edges.b FROM reached JOIN edges ON reached.b = edges.a),
