@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from wideskein.llm import near_copies
+from wideskein.llm import exact_dedup, near_copies
 from wideskein.llm.near_copies import Rule
 from wideskein.llm.queries import OP12_RULE
 
@@ -160,3 +160,16 @@ def test_hot_leader_is_salted(spark, monkeypatch):
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join([*base[: i % 60], f"e{i}", *base[i % 60 + 1 :]])) for i in range(150)]
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_exact_copies_are_decided_in_narrow_rows(spark, monkeypatch, limit):
+    """Also with more keys and groups than are broadcast, a group with a third of all rows, and rows of no group."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_KEYS", limit)
+    rows = [(i, "hot text " * 30) for i in range(300)] + [(299, "hot text " * 30)] * 3 + [(1000 + i, f"pair {i // 2} of texts") for i in range(200)]
+    rows += [(2000 + i, f"single {i} text") for i in range(390)] + [(None, "single 3 text"), (None, "pair 4 of texts"), (None, None), (5, None), (6, "")]
+    kept = exact_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    best = {}
+    for d, t in rows:
+        best[t or ""] = max(best.get(t or "", -1), -1 if d is None else d)
+    assert Counter((r.doc_id, r.text or "") for r in kept) == Counter((d if d >= 0 else None, t) for t, d in best.items())

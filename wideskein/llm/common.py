@@ -150,6 +150,15 @@ def keep_first(docs: DataFrame, grouped: DataFrame, most_broadcast: int, name: s
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     rows = rows.withColumn("_near_kept", kept).where("not _near_kept or _near_rows > 1")
     decided = cut(rows.select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_text"), "_near_kept"), name)
+    return keep_decided(docs, decided, most_broadcast)
+
+
+def keep_decided(docs: DataFrame, decided: DataFrame, most_broadcast: int) -> DataFrame:
+    """The rows of ``docs`` without those that ``decided`` (_near_id, _near_text, _near_kept) names, and with one of the rows of each that it keeps.
+
+    Beyond ``most_broadcast`` decisions rows are shuffled once, by text hash and doc_id, of which rows that no decision
+    names have as many as there are texts.
+    """
     if decided.count() <= most_broadcast:
         decided = F.broadcast(decided)
     mine = docs.withColumn("_near_hash", text_hash())

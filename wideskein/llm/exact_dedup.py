@@ -9,7 +9,7 @@ Defined cases. A null text counts as empty, and all empty texts are one group. O
 with the largest doc_id stays; a null doc_id is below all others. Rows repeated with the same doc_id and
 text are one document: :func:`mark` gives them one decision, :func:`keep_one` returns one of them. An
 empty table gives an empty result. Extra columns pass through :func:`keep_one` unchanged; names that
-begin with ``_dedup_`` are reserved.
+begin with ``_dedup_`` or ``_near_`` are reserved.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wideskein.llm.common import cut, text_or_empty
+from wideskein.llm.common import cut, keep_decided, text_hash, text_or_empty
 
 #: Leading characters that the second step hashes.
 PREFIX_CHARS = 128
@@ -49,17 +49,11 @@ def shared_keys(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
 
 
 def duplicate_groups(docs: DataFrame, keys: DataFrame | None = None, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """One row per text that occurs more than once: text_sha256, keep_id, group_size, keep_rows (rows that hold keep_id)."""
+    """One row per text that occurs more than once: text_sha256, keep_id, group_size."""
     keys = shared_keys(docs, prefix_chars) if keys is None else keys
     keyed = docs.select("doc_id", _length().alias("_dedup_bytes"), _prefix(prefix_chars).alias("_dedup_prefix"), "text")
     hashed = keyed.join(_sent(keys), ["_dedup_bytes", "_dedup_prefix"], "left_semi").select("doc_id", F.sha2(text_or_empty(), 256).alias("text_sha256"))
-    per_doc = hashed.groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        per_doc.groupBy("text_sha256")
-        .agg(F.max(F.struct("doc_id", "n")).alias("top"), F.sum("n").alias("group_size"))
-        .where("group_size > 1")
-        .select("text_sha256", F.col("top.doc_id").alias("keep_id"), "group_size", F.col("top.n").alias("keep_rows"))
-    )
+    return hashed.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
 
 
 def mark(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
@@ -77,12 +71,18 @@ def mark(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of equal texts, all columns as they were. Only texts of shared length and prefix are hashed."""
+    """The rows of ``docs`` with one row of each group of equal texts, all columns as they were.
+
+    Only texts of shared length and prefix are hashed. What is decided is a narrow row (doc_id, text hash) for each copy
+    that goes, or that stays once of several rows; a row without a copy is in no join by digest.
+    """
     keys = shared_keys(docs, prefix_chars)
-    groups = cut(duplicate_groups(docs, keys, prefix_chars).select(F.col("text_sha256").alias("_dedup_sha"), F.col("keep_id").alias("_dedup_keep"), F.col("keep_rows").alias("_dedup_rows")), "dedup-groups")
-    keyed = docs.withColumns({"_dedup_bytes": _length(), "_dedup_prefix": _prefix(prefix_chars)})
-    suspects = keyed.join(_sent(keys.withColumn("_dedup_suspect", F.lit(True))), ["_dedup_bytes", "_dedup_prefix"], "left")
-    named = suspects.withColumn("_dedup_sha", F.when(F.col("_dedup_suspect"), F.sha2(text_or_empty(), 256))).join(_sent(groups), "_dedup_sha", "left")
-    single = named.where("_dedup_rows is null or (_dedup_rows = 1 and doc_id <=> _dedup_keep)")
-    repeated = named.where("_dedup_rows > 1 and doc_id <=> _dedup_keep").dropDuplicates(["_dedup_sha"])
-    return single.unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.select("doc_id", _length().alias("_dedup_bytes"), _prefix(prefix_chars).alias("_dedup_prefix"), "text")
+    suspects = keyed.join(_sent(keys), ["_dedup_bytes", "_dedup_prefix"], "left_semi")
+    hashed = suspects.select("doc_id", text_hash().alias("text_hash"), F.sha2(text_or_empty(), 256).alias("text_sha256"))
+    rows = cut(hashed.groupBy("text_sha256", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "dedup-rows")
+    tops = rows.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("size")).where("size > 1").drop("size")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    decided = rows.join(_sent(cut(tops, "dedup-tops")), "text_sha256").where(~kept | (F.col("n") > 1))
+    decided = decided.select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_text"), kept.alias("_near_kept"))
+    return keep_decided(docs, cut(decided, "dedup-decided"), BROADCAST_KEYS)
