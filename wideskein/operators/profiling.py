@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wideskein.functions.scalars import byte_or_null, decimal_text, is_integral
-
-#: Exact sums: independent of the order and the partitions in which values are added.
-EXACT = "decimal(28,6)"
+from wideskein.operators import exact_sums
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -25,12 +23,15 @@ def wide_form(rows: DataFrame) -> DataFrame:
 
 
 def profile_columns(value: Column | None = None) -> list[Column]:
+    """Aggregates of one column; ``decimals`` is the sum of those values that are decimals of six places, ``n_odd`` counts the others."""
     value = F.col("value") if value is None else value
     v = F.when(~F.isnan(value), value)
     return [
         F.count(v).alias("n"),
         F.count_if(F.isnan(value)).alias("n_nan"),
-        F.sum(v.cast(EXACT)).alias("total"),
+        F.sum(exact_sums.plain(v)).alias("decimals"),
+        F.count_if(exact_sums.is_odd(v)).alias("n_odd"),
+        exact_sums.beyond(v).alias("beyond"),
         F.min(v).alias("low"),
         F.max(v).alias("high"),
         F.bool_and(is_integral(v)).alias("integral"),
@@ -38,16 +39,40 @@ def profile_columns(value: Column | None = None) -> list[Column]:
     ]
 
 
+#: What a profile says of a column. ``total_text`` is what fingerprints take: four decimals, or all digits of the nearest double where values have more than six decimals or 15 digits.
+PROFILE = ["n", "n_nan", "total", "total_text", "low", "high", "integral", "n_not_flag"]
+
+
+def _total_text() -> Column:
+    return F.when((F.col("n_odd") == 0) & F.col("beyond").isNull(), decimal_text(F.round("decimals", 4))).otherwise(F.col("total").cast("string"))
+
+
 def profile(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """n, n_nan, exact total, low, high, integral and n_not_flag per column."""
-    return cells.groupBy(*keys).agg(*profile_columns())
+    """n, n_nan, exact total, low, high, integral and n_not_flag per column, in one pass.
+
+    Values are grouped by column and by the bin of :mod:`exact_sums` (null for decimals of six places), partial sums first; the
+    bins of a column are then merged.
+    """
+    v = F.when(~F.isnan("value"), F.col("value"))
+    high, low = exact_sums.limbs(v, F.col("_bin"))
+    parts = cells.withColumn("_bin", exact_sums.bin_of(v)).groupBy(*keys, "_bin").agg(*profile_columns(), F.sum(high).alias("_high"), F.sum(low).alias("_low"))
+    bins = F.collect_list(F.when(F.col("_bin").isNotNull(), F.struct(F.col("_bin").alias("bin"), F.col("_high").alias("high"), F.col("_low").alias("low"))))
+    summed = [F.sum(c).alias(c) for c in ("n", "n_nan", "decimals", "n_odd", "beyond", "n_not_flag")]
+    made = parts.groupBy(*keys).agg(*summed, F.min("low").alias("low"), F.max("high").alias("high"), F.bool_and("integral").alias("integral"), bins.alias("bins"))
+    made = made.withColumn("total", F.when(F.col("n") > 0, F.coalesce("beyond", exact_sums.nearest("decimals", "bins"))))
+    return made.withColumn("total_text", _total_text()).select(*keys, *PROFILE)
 
 
 def profile_narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """pos, name and the profile of a few columns: plain aggregates of one row, turned into a row a column; no cell becomes a row."""
+    """pos, name and the profile of a few columns: plain aggregates of one row, turned into a row a column; no cell becomes a row.
+
+    A second pass over the columns that hold other values than decimals of six places sums those, and makes rows of those cells only.
+    """
     each = lambda c: F.struct(*profile_columns(F.col(c).cast("double")))
     row = df.agg(*(each(c).alias(f"_{i}") for i, c in enumerate(columns)))
-    return row.select(F.inline(F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(f"_{i}").alias("made")) for i, c in enumerate(columns))))).select("pos", "name", "made.*")
+    sums = row.select(F.inline(F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(f"_{i}").alias("made")) for i, c in enumerate(columns))))).select("pos", "name", "made.*")
+    made = exact_sums.with_total(sums, lambda wanted: exact_sums.odd_cells(df, [F.col(columns[i]).cast("double") for i in wanted]), [*sums.columns, "total"])
+    return made.withColumn("total_text", _total_text()).select("pos", "name", *PROFILE)
 
 
 def short(fingerprint: Column) -> Column:
@@ -71,12 +96,12 @@ def classes(profiled: DataFrame) -> DataFrame:
 
 
 def fingerprint(profiled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """row_count and content_fingerprint: SHA-256 of the columns' exact sums, rounded to four places, and the row count.
+    """row_count and content_fingerprint: SHA-256 of the columns' exact sums, to four places where values have six at most, and the row count.
 
     The profile has one row per column, so the gathered list is as long as the table is wide.
     """
-    sums = F.array_sort(F.collect_list(F.struct("pos", F.round("total", 4).alias("total"))))
-    text = F.transform(sums, lambda s: decimal_text(s["total"]))
+    sums = F.array_sort(F.collect_list(F.struct("pos", F.coalesce("total_text", F.lit("null")).alias("total"))))
+    text = F.transform(sums, lambda s: s["total"])
     made = profiled.groupBy(*keys).agg(F.max(F.col("n") + F.col("n_nan")).alias("row_count"), text.alias("sums"))
     body = F.concat(F.lit('{"col_sum":['), F.array_join("sums", ","), F.lit('],"row_count":'), F.col("row_count").cast("string"), F.lit("}"))
     return made.select(*keys, "row_count", F.sha2(body, 256).alias("content_fingerprint"))

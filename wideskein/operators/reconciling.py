@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wideskein.operators.profiling import EXACT
+from wideskein.operators import exact_sums
 
 
 def counts(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -31,15 +31,19 @@ def compare_copies(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Seq
     """
     side = lambda df, name: df.select(*keys, F.struct(*(F.col(c).cast("double").alias(c) for c in columns)).alias(name))
     both = side(a, "a").join(side(b, "b"), list(keys), "full_outer")
-    total = lambda c: F.sum(F.col(c).cast(EXACT)).cast("double")
 
     def made(c: str):
         x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
         agrees = F.coalesce(F.abs(x - y) <= atol + rtol * F.abs(y), F.col("a").isNotNull() & F.col("b").isNotNull() & x.isNull() & y.isNull())
-        return F.struct(F.lit(c).alias("name"), F.count("a").alias("rows_a"), F.count("b").alias("rows_b"), total(f"a.{c}").alias("sum_a"), total(f"b.{c}").alias("sum_b"), F.max(F.abs(x - y)).alias("max_abs_diff"), F.bool_and(agrees).alias("close"))
+        return F.struct(F.lit(c).alias("name"), F.count("a").alias("rows_a"), F.count("b").alias("rows_b"), F.max(F.abs(x - y)).alias("max_abs_diff"), F.bool_and(agrees).alias("close"))
 
     row = both.agg(*(made(c).alias(f"_{i}") for i, c in enumerate(columns)))
-    return row.select(F.inline(F.array(*(F.col(f"_{i}") for i in range(len(columns))))))
+    cells = row.select(F.inline(F.array(*(F.col(f"_{i}") for i in range(len(columns))))))
+    sums = [exact_sums.totals(df, [F.col(c).cast("double") for c in columns]) for df in (a, b)]
+    for side_sums, name in zip(sums, ("sum_a", "sum_b"), strict=True):
+        named = F.element_at(F.array(*(F.lit(c) for c in columns)), F.col("pos") + 1)
+        cells = cells.join(F.broadcast(side_sums.select(named.alias("name"), F.col("total").alias(name))), "name")  # a row a column
+    return cells.select("name", "rows_a", "rows_b", "sum_a", "sum_b", "max_abs_diff", "close")
 
 
 def compare_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

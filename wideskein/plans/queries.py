@@ -275,6 +275,18 @@ def wide_file_profile(spark, sf_dir):
     return named.select("pos", "n", F.col("total").cast("double").alias("total"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
 
 
+@query("""SELECT 'sevenths' AS name, count(*) AS n, count(*) * CAST('1e-7' AS DOUBLE) AS total FROM lineitem UNION ALL SELECT 'large', count(*), count(*) * CAST('1e23' AS DOUBLE) FROM lineitem
+ UNION ALL SELECT 'tiny', count(*), sum(CAST(l_quantity AS BIGINT))::DOUBLE * pow(2.0::DOUBLE, -60) FROM lineitem UNION ALL SELECT 'huge', count(*), sum(CAST(l_quantity AS BIGINT))::DOUBLE * pow(2.0::DOUBLE, 300) FROM lineitem
+ UNION ALL SELECT 'both', 3 * count(*), sum(CAST(l_quantity AS BIGINT))::DOUBLE * pow(2.0::DOUBLE, -60) FROM lineitem""")
+def sums_of_any_magnitude(spark, sf_dir):
+    """Sums of doubles far below and far above what decimals hold; in the column ``both`` the large values cancel and leave the small ones' sum."""
+    q = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").cast("double").alias("q"))
+    rows = q.select(F.lit(1e-7).alias("sevenths"), F.lit(1e23).alias("large"), (F.col("q") * 2.0**-60).alias("tiny"), (F.col("q") * 2.0**300).alias("huge"))
+    all_three = rows.select("*", F.explode(F.array("huge", "tiny", -F.col("huge"))).alias("both"))
+    made = profiling.profile_narrow(rows, rows.columns).unionByName(profiling.profile_narrow(all_three, ["both"]))
+    return made.select("name", "n", "total")
+
+
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
