@@ -14,7 +14,7 @@ from wideskein.functions import filters, scalars
 from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling
 from wideskein.plans.telemetry import dirty, table, telemetry
 from wideskein.sources import readers, sinks
-from wideskein.streaming import arrivals
+from wideskein.streaming import alerts, arrivals, progress
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -36,8 +36,12 @@ def query(sql: str | None = None):
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: under spark.checkpoint.dir, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder that all executors share, under spark.checkpoint.dir; only local mode may leave that unset and use the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/wideskein/{name}-{uuid.uuid4().hex}"
 
 
@@ -122,6 +126,12 @@ def top_recent(spark, sf_dir):
     return browse.newest(telemetry(spark, sf_dir), "time", ["event_id"], 500).select("event_id", "time")
 
 
+@query("SELECT event_id, altitude FROM (SELECT event_id, value AS altitude FROM events ORDER BY event_id DESC LIMIT 10)")
+def two_columns_ten_rows(spark, sf_dir):
+    """A look at two columns: the ten rows with the highest ids, so that it is the same ten each time."""
+    return browse.preview(telemetry(spark, sf_dir).select("event_id", "altitude").orderBy(F.desc("event_id")), 10)
+
+
 @query("SELECT l_returnflag, l_linestatus FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem) LIMIT 200")
 def preview_rows(spark, sf_dir):
     return browse.preview(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus").distinct(), 200)
@@ -508,6 +518,20 @@ def alert_stream_state(spark, sf_dir):
     return arrivals.new_alerts(spark, rows.where("timestamp >= timestamp'2024-01-15'"), path, ["user_id"]).select("user_id", "status", "known")
 
 
+@query(f"""SELECT user_id, ts AS timestamp, status, known FROM (SELECT *, lag(status) OVER (PARTITION BY user_id ORDER BY ts, status) AS known FROM (SELECT DISTINCT user_id, ts, status FROM {STATES}))
+ WHERE status = 'FAILURE' AND known IS DISTINCT FROM 'FAILURE' OR status = 'RESOLVED' AND known = 'FAILURE'""")
+def alert_stream_keyed(spark, sf_dir):
+    """Statuses arrive in two runs of a stream, the second with false failures that come late; every alert of every user, those within a batch too."""
+    base, rows = scratch(spark, "alert-stream"), _states(spark, sf_dir).select("user_id", F.col("ts").cast("timestamp").alias("timestamp"), "status")
+    late = rows.where("timestamp < timestamp'2024-01-10'").withColumn("status", F.lit("FAILURE"))
+    parts = [rows.where("timestamp < timestamp'2024-01-15'"), rows.where("timestamp >= timestamp'2024-01-15'").unionByName(late)]
+    for part in parts:
+        part.coalesce(2).write.mode("append").parquet(f"{base}/in")
+        found = alerts.alert_stream(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), ["user_id"])
+        found.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{base}/out")
+
+
 @query("SELECT o_orderstatus, count(*) AS n_rows FROM orders GROUP BY 1 ORDER BY 2 DESC")
 def status_counts(spark, sf_dir):
     return history.status_counts(table(spark, sf_dir, "orders"), "o_orderstatus").orderBy(F.desc("n_rows"))
@@ -793,31 +817,56 @@ def joined_classes(spark, sf_dir):
 STREAM_KEYS = ["flight_id", "time", "event_id"]
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, list[dict]]:
+CALENDAR = ("2024-01-02", "2024-12-31")
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Files arrive in three steps, the first once more under another name with other altitudes; rows before the calendar go to quarantine."""
-    base, health = scratch(spark, "stream"), []
+    base = scratch(spark, "stream")
     rows = _by_class(spark, sf_dir)
-    for part, more in (("event_id % 2 = 0", -1), ("event_id % 2 = 0", 0), ("event_id % 2 = 1", 0)):
-        rows.where(part).withColumn("altitude", F.col("altitude") + more).coalesce(2).write.mode("append").parquet(f"{base}/in")
-        stream = arrivals.arriving(spark, f"{base}/in", rows.schema)
-        running = arrivals.load_arrivals(stream, f"{base}/table", f"{base}/late", f"{base}/checkpoint", "2024-01-02", "2024-12-31")
-        running.awaitTermination()
-        health += arrivals.batch_health(running.recentProgress)
-    return base, rows, health
+    log = progress.BatchLog(spark, f"{base}/log")
+    spark.streams.addListener(log)
+    try:
+        for part, more in (("event_id % 2 = 0", -1), ("event_id % 2 = 0", 0), ("event_id % 2 = 1", 0)):
+            rows.where(part).withColumn("altitude", F.col("altitude") + more).coalesce(2).write.mode("append").parquet(f"{base}/in")
+            stream = arrivals.arriving(spark, f"{base}/in", rows.schema)
+            running = arrivals.load_arrivals(stream, f"{base}/table", f"{base}/late", f"{base}/checkpoint", *CALENDAR)
+            running.awaitTermination()
+            log.wait(running)
+    finally:
+        spark.streams.removeListener(log)
+    return base, rows
 
 
 @query(f"{DAYS} WHERE CAST(ts AS DATE) >= DATE '2024-01-02'")
 def stream_new_files(spark, sf_dir):
     """What the table holds in the end: of every key the row that came last."""
-    base, rows, _ = _streamed(spark, sf_dir)
+    base, rows = _streamed(spark, sf_dir)
     return arrivals.settled(spark, f"{base}/table", rows.schema, STREAM_KEYS).withColumn("event_date", F.col("event_date").cast("string"))
 
 
 @query("""SELECT 0 AS batch, count(*) AS n_rows FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 1, count(*) FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 2, count(*) FROM events WHERE event_id % 2 = 1""")
 def stream_batch_log(spark, sf_dir):
-    """The health log of the batches: how many rows each read."""
-    _, _, health = _streamed(spark, sf_dir)
-    return spark.createDataFrame([(h["batch"], h["rows"]) for h in health if h["rows"]], "batch int, n_rows long")
+    """The health log of the batches, as the table that the listener wrote: how many rows each read."""
+    base, _ = _streamed(spark, sf_dir)
+    return progress.batch_log(spark, f"{base}/log").where("rows > 0").select(F.col("batch").cast("int").alias("batch"), F.col("rows").alias("n_rows"))
+
+
+@query("""WITH late AS (SELECT event_id, value - 1 AS altitude, 0 AS batch FROM events WHERE event_id % 2 = 0 AND CAST(ts AS DATE) < DATE '2024-01-02'
+  UNION ALL SELECT event_id, value, 2 - (event_id + 1) % 2 FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-02')
+ SELECT 'refused before' AS state, event_id, altitude, batch FROM late
+ UNION ALL SELECT 'loaded after', event_id, value, 2 - (event_id + 1) % 2 FROM events UNION ALL SELECT 'refused after', event_id, altitude, batch FROM late WHERE false""")
+def stream_quarantine(spark, sf_dir):
+    """Rows that the calendar refused, with their batch; then the calendar grows by a day, they are taken back twice, and all rows are in the table once."""
+    base, rows = _streamed(spark, sf_dir)
+    table_, late, wider = f"{base}/table", f"{base}/late", ("2024-01-01", "2024-12-31")
+    state = lambda df, name: df.select(F.lit(name).alias("state"), "event_id", "altitude", "batch")
+    before = state(arrivals.refused(spark, late, rows.schema, *CALENDAR), "refused before")
+    taken = [arrivals.redrive(spark, late, table_, rows.schema, CALENDAR, wider) for _ in range(2)]
+    if taken[0] != taken[1]:
+        raise RuntimeError(f"taken back twice, but not the same rows: {taken}")
+    held = arrivals.settled(spark, table_, rows.schema, STREAM_KEYS, batch=True)
+    return before.unionByName(state(held, "loaded after")).unionByName(state(arrivals.refused(spark, late, rows.schema, *wider), "refused after"))
 
 
 @query("SELECT event_id, ts AS time, event_type AS class FROM events")

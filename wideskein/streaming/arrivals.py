@@ -36,7 +36,8 @@ def load_arrivals(stream: DataFrame, table: str, quarantine: str, checkpoint: st
         rows = rows.persist()
         valid = in_calendar(first, last)
         marked = rows.withColumn("batch", F.lit(number))
-        marked.where(~valid).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
+        refused = marked.where(~valid).withColumn("event_date", F.to_date("time"))
+        refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch").parquet(quarantine)
         load_days(marked.where(valid).drop("source_file"), table, ["batch"])
         rows.unpersist()
 
@@ -44,13 +45,36 @@ def load_arrivals(stream: DataFrame, table: str, quarantine: str, checkpoint: st
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def settled(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    """The rows of a table of :func:`load_arrivals`, of each key the one from the newest batch; of one batch's any one, always the same."""
+def refused(spark: SparkSession, quarantine: str, schema: StructType, first: str, last: str | None = None) -> DataFrame:
+    """The rows in quarantine that a calendar still does not load, with the batch that brought them and their source file."""
+    return _quarantined(spark, quarantine, schema).where(~in_calendar(first, last)).drop("event_date")
+
+
+def _quarantined(spark: SparkSession, quarantine: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(StructType([*schema.fields, *StructType.fromDDL("source_file string, event_date date, batch int").fields])).parquet(quarantine)
+
+
+def redrive(spark: SparkSession, quarantine: str, table: str, schema: StructType, before: tuple[str, str | None], now: tuple[str, str | None]) -> int:
+    """Load what was refused under the calendar ``before`` and is valid ``now``, as part of the batches that brought it; how many rows.
+
+    Quarantine keeps its rows: it says what was ever refused, :func:`refused` what still is. Only the folders of the days
+    that the calendar gained are read. Their partitions in the table, a day, flight and batch each, hold nothing else, so doing it
+    again, or after a failure halfway, replaces what was written. A later batch's row of the same key stays the newer one.
+    """
+    day = F.col("event_date")
+    span = lambda first, last: day.between(F.lit(first).cast("date"), F.lit(last).cast("date") if last else F.current_date())
+    rows = _quarantined(spark, quarantine, schema).where(day.isNotNull() & span(*now) & ~span(*before))
+    load_days(rows.drop("source_file", "event_date"), table, ["batch"])
+    return rows.count()
+
+
+def settled(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str], batch: bool = False) -> DataFrame:
+    """The rows of a table of :func:`load_arrivals`, of each key the one from the newest batch (named, if ``batch``); of one batch's any one, always the same."""
     full = StructType([*schema.fields, *StructType.fromDDL("event_date date, batch int").fields])
     rows = read_days(spark, table, full)
     rest = [c for c in rows.columns if c not in keys]
     top = F.max(F.struct("batch", *(c for c in rest if c != "batch"))).alias("top")
-    return rows.groupBy(*keys).agg(top).select(*(F.col(c) if c in keys else F.col(f"top.{c}").alias(c) for c in [*schema.fieldNames(), "event_date"]))
+    return rows.groupBy(*keys).agg(top).select(*(F.col(c) if c in keys else F.col(f"top.{c}").alias(c) for c in [*schema.fieldNames(), "event_date", *(["batch"] if batch else [])]))
 
 
 def compact(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str], into: str) -> None:
@@ -63,11 +87,6 @@ def without_repeats(stream: DataFrame, keys: list[str], delay: str = "1 day") ->
     return stream.withWatermark("time", delay).dropDuplicatesWithinWatermark(keys)
 
 
-def batch_health(progress: list[dict]) -> list[dict]:
-    """Per batch: number, rows, rows a second and seconds, from a query's progress."""
-    return [{"batch": p["batchId"], "rows": p["numInputRows"], "rows_per_s": p.get("processedRowsPerSecond"), "seconds": p.get("durationMs", {}).get("triggerExecution", 0) / 1000} for p in progress]
-
-
 def new_alerts(spark: SparkSession, batch: DataFrame, state_path: str, keys: list[str]) -> DataFrame:
     """Alerts of a batch that are new: a FAILURE where the last status seen of the key is another or none, and a FAILURE that is RESOLVED.
 
