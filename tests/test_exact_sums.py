@@ -7,7 +7,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from wideskein.operators import exact_sums, profiling, reconciling
+from wideskein.operators import exact_sums, profiling, reconciling, wide_profile
 
 
 def nearest(values):
@@ -75,3 +75,40 @@ def test_copies_of_any_magnitude(spark):
     assert got["y"].sum_a == got["y"].sum_b == nearest([1e23 * i for i in range(50)])
     assert (got["z"].sum_a, got["z"].sum_b, got["z"].close) == (1225.0, 1227.0, False) and got["x"].close
     assert exact_sums.totals(a.limit(0), [F.col("x")]).first().total is None
+
+
+def wide_rows(seed):
+    r, rows = random.Random(seed), []
+    kinds = [lambda: r.uniform(-500, 500), lambda: round(r.uniform(-500, 500), 6), lambda: float(r.randint(0, 1)), lambda: r.choice([1e-7, 1e23, -1e23, 1e-310]), lambda: r.choice([None, math.nan, 3.5]), lambda: round(r.uniform(1e9, 9e14), 3)]
+    for f in range(3):
+        for _ in range(40):
+            width = 12 if f < 2 else r.choice([11, 12])
+            rows.append((f"file{f}", [kinds[i % len(kinds)]() for i in range(width)]))
+    rows += [("file0", None), ("file9", []), ("file1", [math.inf] + [0.25] * 11), (None, [2.0**40, 1e15, 1e300])]
+    return rows
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 30])
+def test_wide_partials_equal_the_profile_of_cells(spark, monkeypatch, at_once):
+    monkeypatch.setattr(wide_profile, "AT_ONCE", at_once)
+    df = spark.createDataFrame(wide_rows(3), "file string, values array<double>").coalesce(4)
+    for keys in (["pos"], ["file", "pos"]):
+        want = profiling.profile(profiling.wide_form(df), keys)
+        got = wide_profile.profile_wide(df, tuple(keys))
+        assert got.columns == want.columns
+        assert sorted((str(tuple(x)) for x in got.collect())) == sorted((str(tuple(x)) for x in want.collect()))
+
+
+def test_wide_sums_are_the_nearest_double(spark):
+    rows = wide_rows(5)
+    got = {r.pos: r.total for r in wide_profile.profile_wide(spark.createDataFrame(rows, "file string, values array<double>").repartition(5)).collect()}
+    for pos in range(1, 12):
+        values = [v[pos] for _, v in rows if v and len(v) > pos and v[pos] is not None and not math.isnan(v[pos])]
+        assert got[pos] == nearest(values), pos
+
+
+def test_many_exponents_are_given_away(spark, monkeypatch):
+    monkeypatch.setattr(wide_profile, "EXPONENTS", 3)
+    rows = [("f", [math.ldexp(1 / 3, k), -math.ldexp(1 / 7, -k)]) for k in range(-400, 400, 7)]
+    got = {r.pos: r.total for r in wide_profile.profile_wide(spark.createDataFrame(rows, "file string, values array<double>").coalesce(1)).collect()}
+    assert got == {i: nearest([v[i] for _, v in rows]) for i in (0, 1)}

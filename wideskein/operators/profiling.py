@@ -55,10 +55,25 @@ def profile(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     v = F.when(~F.isnan("value"), F.col("value"))
     high, low = exact_sums.limbs(v, F.col("_bin"))
-    parts = cells.withColumn("_bin", exact_sums.bin_of(v)).groupBy(*keys, "_bin").agg(*profile_columns(), F.sum(high).alias("_high"), F.sum(low).alias("_low"))
+    return _finished(cells.withColumn("_bin", exact_sums.bin_of(v)).groupBy(*keys, "_bin").agg(*profile_columns(), F.sum(high).alias("_high"), F.sum(low).alias("_low")), keys)
+
+
+_ADDED = ("n", "n_nan", "decimals", "n_odd", "beyond", "n_not_flag")
+
+
+def _lowest() -> list[Column]:
+    return [F.min("low").alias("low"), F.max("high").alias("high"), F.bool_and("integral").alias("integral")]
+
+
+def merged(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The profile, from partial ones by ``keys`` and bin (a row with null bin for all counts; rows of bins have their limbs only)."""
+    limbs = [F.sum(c).alias(c) for c in ("_high", "_low")]
+    return _finished(parts.groupBy(*keys, "_bin").agg(*(F.sum(c).alias(c) for c in _ADDED), *_lowest(), *limbs), keys)
+
+
+def _finished(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     bins = F.collect_list(F.when(F.col("_bin").isNotNull(), F.struct(F.col("_bin").alias("bin"), F.col("_high").alias("high"), F.col("_low").alias("low"))))
-    summed = [F.sum(c).alias(c) for c in ("n", "n_nan", "decimals", "n_odd", "beyond", "n_not_flag")]
-    made = parts.groupBy(*keys).agg(*summed, F.min("low").alias("low"), F.max("high").alias("high"), F.bool_and("integral").alias("integral"), bins.alias("bins"))
+    made = parts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in _ADDED), *_lowest(), bins.alias("bins"))
     made = made.withColumn("total", F.when(F.col("n") > 0, F.coalesce("beyond", exact_sums.nearest("decimals", "bins"))))
     return made.withColumn("total_text", _total_text()).select(*keys, *PROFILE)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wideskein.functions import filters, scalars
-from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling
+from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling, wide_profile
 from wideskein.plans.telemetry import dirty, table, telemetry
 from wideskein.sources import readers, sinks
 from wideskein.streaming import alerts, arrivals, progress
@@ -280,7 +280,7 @@ def wide_file_profile(spark, sf_dir):
     header = "\t".join(["timestamp", *(f"f{i}" for i in range(1000))]) + "\t"
     sinks.write_lines(text, path, header)
     good = readers.good_rows(readers.wide_rows(spark, path))
-    made = profiling.profile(profiling.wide_form(good).drop("file"), ["pos"])
+    made = wide_profile.profile_wide(good)
     named = made.join(readers.sensor_names(spark, path).select("pos", "name").distinct(), "pos").where("name = concat('f', pos)")
     return named.select("pos", "n", F.col("total").cast("double").alias("total"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
 
