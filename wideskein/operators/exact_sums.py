@@ -9,6 +9,7 @@ merged in any way. A column's total is the double nearest to the exact sum; infi
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,19 +24,36 @@ BELOW = 54
 LIMB = 40
 
 
-def _decimal(v: Column) -> Column:
-    return F.when(F.abs(v) < 1e15, v).try_cast(DECIMAL)
+#: Below this a value's six decimals are found by one multiplication, surely and uniquely; sums of such millionths go in three limbs.
+SURE = 2.0**30
+LIMB_BITS = 17
+
+
+def _millionths(v: Column) -> Column:
+    """A sure value in millionths, if it is a decimal of six places; else null."""
+    whole = F.rint(v * 1e6)
+    return F.when((F.abs(v) < SURE) & (whole / 1e6 == v), whole.cast("long"))
+
+
+def _larger(v: Column) -> Column:
+    """The decimal of a value that is not sure; null if it is none. Costly, so it is evaluated for such values only."""
+    digits = v.try_cast(DECIMAL)
+    return F.when((F.abs(v) >= SURE) & (F.abs(v) < 1e15), F.when(digits.cast("double") == v, digits))
 
 
 def is_odd(v: Column) -> Column:
     """Whether a value is finite and not a decimal of six places; false for null."""
-    finite = ~F.isnan(v) & (F.abs(v) < float("inf"))
-    return F.coalesce(finite & ~F.coalesce(_decimal(v).cast("double") == v, F.lit(False)), F.lit(False))
+    odd = F.when(F.abs(v) < SURE, F.rint(v * 1e6) / 1e6 != v).when(F.abs(v) < float("inf"), _larger(v).isNull())
+    return F.coalesce(odd, F.lit(False))
 
 
-def plain(v: Column) -> Column:
-    """The decimal a value stands for; null if it is none."""
-    return F.when(~is_odd(v), _decimal(v))
+def plain_sum(v: Column) -> Column:
+    """Aggregate: the sum of the decimals that values stand for, 0 without any; three sums of longs good for 2^46 rows, and one of decimals that adds little else."""
+    m, mask = _millionths(v), (1 << LIMB_BITS) - 1
+    parts = [F.shiftright(m, 2 * LIMB_BITS), F.shiftright(m, LIMB_BITS).bitwiseAND(F.lit(mask)), m.bitwiseAND(F.lit(mask))]
+    weighed = [F.coalesce(F.sum(part), F.lit(0)).cast("decimal(20,0)") * F.lit(Decimal(2 ** (LIMB_BITS * (2 - i)))) for i, part in enumerate(parts)]
+    millionths = (weighed[0] + weighed[1] + weighed[2]).cast("decimal(34,0)") * F.lit(Decimal("0.000001"))
+    return (millionths.cast("decimal(38,6)") + F.coalesce(F.sum(_larger(v)), F.lit(Decimal(0)))).cast("decimal(38,6)")
 
 
 def bin_of(v: Column) -> Column:
@@ -91,7 +109,7 @@ def odd_cells(df: DataFrame, values: Sequence[Column]) -> DataFrame:
 
 def totals(df: DataFrame, values: Sequence[Column]) -> DataFrame:
     """pos and total of a few columns of doubles. Rows are read once, and once more if any value is odd."""
-    one = lambda i, v: F.struct(F.lit(i).alias("pos"), F.sum(plain(v)).alias("decimals"), F.count(v).alias("n"), F.count_if(is_odd(v)).alias("n_odd"), beyond(v).alias("beyond"))
+    one = lambda i, v: F.struct(F.lit(i).alias("pos"), plain_sum(v).alias("decimals"), F.count(v).alias("n"), F.count_if(is_odd(v)).alias("n_odd"), beyond(v).alias("beyond"))
     row = df.agg(*(one(i, v).alias(f"_{i}") for i, v in enumerate(values)))
     sums = row.select(F.inline(F.array(*(F.col(f"_{i}") for i in range(len(values))))))
     return with_total(sums, lambda wanted: odd_cells(df, [values[i] for i in wanted]), ["pos", "total"])

@@ -29,7 +29,7 @@ def profile_columns(value: Column | None = None) -> list[Column]:
     return [
         F.count(v).alias("n"),
         F.count_if(F.isnan(value)).alias("n_nan"),
-        F.sum(exact_sums.plain(v)).alias("decimals"),
+        exact_sums.plain_sum(v).alias("decimals"),
         F.count_if(exact_sums.is_odd(v)).alias("n_odd"),
         exact_sums.beyond(v).alias("beyond"),
         F.min(v).alias("low"),
@@ -44,7 +44,7 @@ PROFILE = ["n", "n_nan", "total", "total_text", "low", "high", "integral", "n_no
 
 
 def _total_text() -> Column:
-    return F.when((F.col("n_odd") == 0) & F.col("beyond").isNull(), decimal_text(F.round("decimals", 4))).otherwise(F.col("total").cast("string"))
+    return F.when(F.col("n") == 0, F.lit(None)).when((F.col("n_odd") == 0) & F.col("beyond").isNull(), decimal_text(F.round("decimals", 4))).otherwise(F.col("total").cast("string"))
 
 
 def profile(cells: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from wideskein.operators import exact_sums
 from wideskein.operators.profiling import merged
 
-#: Below this a value's six decimals are found by one multiplication, surely and uniquely.
-SURE = 2.0**30
+SURE = exact_sums.SURE
 #: Values added up at a stroke, and exponents whose sums a task holds before it gives them away.
 AT_ONCE, EXPONENTS = 1 << 20, 64
 _MASK = (1 << 27) - 1
