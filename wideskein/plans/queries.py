@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wideskein.functions import filters, scalars
-from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling, wide_profile
+from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling, wide_compare, wide_profile
 from wideskein.plans.telemetry import dirty, table, telemetry
 from wideskein.sources import readers, sinks
 from wideskein.streaming import alerts, arrivals, progress
@@ -350,6 +350,23 @@ def compare_cells(spark, sf_dir):
     return found.withColumn("columns", F.when(F.col("finding") == "only_a", "").otherwise(F.col("columns")))
 
 
+WIDE_A = "SELECT o_orderstatus AS file, o_orderkey AS line, CAST(o_custkey AS DOUBLE) AS c0, o_totalprice AS c1, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(year(o_orderdate) AS DOUBLE) END AS c2 FROM orders"
+
+
+@query(f"""WITH a AS ({WIDE_A}), cells AS (SELECT file, line, unnest([0, 1, 2]) AS pos, unnest([c0, c1, c2]) AS a FROM a),
+ changed AS (SELECT file, line, pos, a, CASE WHEN pos = 1 THEN a + 1 WHEN a IS NULL THEN CAST(0 AS DOUBLE) END AS b FROM cells WHERE line BETWEEN 2000 AND 2100 AND pos > 0)
+ SELECT file, line, 'differs' AS finding, CAST(pos AS INTEGER) AS pos, a, b FROM changed WHERE a IS DISTINCT FROM b
+ UNION ALL SELECT file, line, 'only_a', NULL, NULL, NULL FROM a WHERE line BETWEEN 2501 AND 2520 UNION ALL SELECT file, -line - 1, 'only_b', NULL, NULL, NULL FROM a WHERE line <= 9
+ UNION ALL SELECT file, line, 'only_b', 3, NULL, CAST(7 AS DOUBLE) FROM a WHERE line BETWEEN 900 AND 905""")
+def compare_wide_copies(spark, sf_dir):
+    """Rows of values by (file, line) against a copy with changed, lost and added cells and lines in a few blocks; a hot file holds about half of all rows."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("file"), F.col("o_orderkey").alias("line"), F.col("o_custkey").cast("double").alias("c0"), F.col("o_totalprice").alias("c1"), F.when(F.col("o_orderkey") % 3 != 0, F.year("o_orderdate").cast("double")).alias("c2"))
+    a, line = o.select("file", "line", F.array("c0", "c1", "c2").alias("values")), F.col("line")
+    changed = F.when(line.between(2000, 2100), F.array("c0", F.col("c1") + 1, F.when(F.col("c2").isNull(), 0.0))).when(line.between(900, 905), F.array("c0", "c1", "c2", F.lit(7.0))).otherwise(F.array("c0", "c1", "c2"))
+    b = o.select("file", "line", changed.alias("values")).where(~line.between(2501, 2520))
+    return wide_compare.compare_wide(a, b.unionByName(a.where(line <= 9).withColumn("line", -line - 1)), 100)
+
+
 @query("""SELECT o_orderkey, o_orderstatus, 'a' AS side FROM orders WHERE o_orderkey % 90 = 0
  UNION ALL SELECT o_orderkey, 'X', 'b' FROM orders WHERE o_orderkey % 90 = 0""")
 def copy_difference(spark, sf_dir):

@@ -75,13 +75,23 @@ def bad_rows(rows: DataFrame) -> DataFrame:
     return rows.where(_wrong()).select("file", "block", "row", F.col("n_names").alias("expected"), F.col("n_fields").alias("found"), F.substring(F.array_join("fields", "\t"), 1, 200).alias("sample"))
 
 
-def bad_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """:func:`bad_rows` with ``line``, the line's number in its file from 1: lines of the splits before it, counted once a split, and its place in its own."""
-    splits = tab_lines(spark, path).groupBy("file", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+def line_numbers(spark: SparkSession, path: str | Sequence[str], rows: DataFrame) -> DataFrame:
+    """``rows`` (file, block, row and more) of the files at ``path`` with ``line``, the line's number in its file from 1: lines of the splits before it, counted once a split, and its place in its own."""
+    splits = tab_lines(spark, path).groupBy("file", "block").agg(F.min("row").alias("_first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    found = bad_rows(wide_rows(spark, path)).join(starts, ["file", "block"])
-    return found.select("file", (F.col("before") + F.col("row") - F.col("first") + 1).alias("line"), "expected", "found", "sample")
+    starts = splits.select("file", "block", "_first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(starts, ["file", "block"]).withColumn("line", F.col("_before") + F.col("row") - F.col("_first") + 1).drop("_first", "_before")
+
+
+def bad_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """:func:`bad_rows` with their line numbers."""
+    return line_numbers(spark, path, bad_rows(wide_rows(spark, path))).select("file", "line", "expected", "found", "sample")
+
+
+def numbered_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """file (its name without extension), line (from 1, the header's) and values of all fields of every row: what copies of wide files are compared by."""
+    rows = line_numbers(spark, path, wide_rows(spark, path, None))
+    return rows.select(file_stem(F.col("file")).alias("file"), "line", "values")
 
 
 def strict_rows(rows: DataFrame) -> DataFrame:
