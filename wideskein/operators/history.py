@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wideskein.operators import scans
 from wideskein.sources.sinks import read_version, replace_version
 
 
@@ -21,15 +22,21 @@ def keep_newest(df: DataFrame, time: str, ties: Sequence[str], rows: int = 500)
     return df.orderBy(F.desc(time), *ties).limit(rows)
 
 
-def status_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str = "status", ties: Sequence[str] = ()) -> DataFrame:
-    """Rows whose status differs from the one before; a key's first is silent."""
-    before = F.lag(status).over(Window.partitionBy(*keys).orderBy(seen, *ties))
-    return df.withColumn("previous", before).where(F.col("previous").isNotNull() & (F.col("previous") != F.col(status)))
+def status_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str = "status", ties: Sequence[str] = (), path: str | None = None) -> DataFrame:
+    """Rows whose status differs from the one before; a key's first is silent.
+
+    With ``path``, a new folder for the ordered rows, a key may have any number of rows (:mod:`scans`); without, a task holds a key.
+    """
+    if path:
+        before = scans.lag(df, keys, [seen, *ties], status, "previous", path)
+    else:
+        before = df.withColumn("previous", F.lag(status).over(Window.partitionBy(*keys).orderBy(seen, *ties)))
+    return before.where(F.col("previous").isNotNull() & (F.col("previous") != F.col(status)))
 
 
-def alert_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str = "status", ties: Sequence[str] = ()) -> DataFrame:
+def alert_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str = "status", ties: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """Of :func:`status_changes` those that alert: a new FAILURE, and a FAILURE that became RESOLVED."""
-    changes = status_changes(df, keys, seen, status, ties)
+    changes = status_changes(df, keys, seen, status, ties, path)
     return changes.where((F.col(status) == "FAILURE") | ((F.col("previous") == "FAILURE") & (F.col(status) == "RESOLVED")))
 
 
@@ -49,17 +56,22 @@ def run_kpis(df: DataFrame, status: str, good: str, bad: str, open_ones: Sequenc
     return df.agg(F.count(F.lit(1)).alias("total"), F.count_if(s == good).alias("succeeded"), F.count_if(s == bad).alias("failed"), F.count_if(s.isin(list(open_ones))).alias("in_progress"), F.count_distinct(assets).alias("n_assets"), F.count_distinct(flights).alias("n_flights"))
 
 
-def resolve_alerts(failures: DataFrame, successes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def resolve_alerts(failures: DataFrame, successes: DataFrame, keys: Sequence[str], path: str | None = None) -> DataFrame:
     """Failures with the first later success of their keys: resolved_at, and status RESOLVED where there is one.
 
     Both are sorted by time, latest first, and the earliest success so far goes along: one pass, however many a key has.
-    A success of the same instant doesn't count; a failure without a time is never resolved.
+    A success of the same instant doesn't count; a failure without a time is never resolved. With ``path``, a new folder
+    for the ordered rows, a key may have any number of rows (:mod:`scans`); without, a task holds a key.
     """
     columns = [c for c in failures.columns if c not in keys and c != "timestamp"]
     bad = failures.select(*keys, "timestamp", F.lit(0).alias("_good"), F.struct(*columns).alias("_row"))
     good = successes.select(*keys, "timestamp", F.lit(1).alias("_good"), F.lit(None).cast(bad.schema["_row"].dataType).alias("_row"))
-    later = Window.partitionBy(*keys).orderBy(F.desc_nulls_first("timestamp"), "_good").rowsBetween(Window.unboundedPreceding, -1)
-    both = bad.unionByName(good).withColumn("resolved_at", F.min(F.when(F.col("_good") == 1, F.col("timestamp"))).over(later))
+    order, success = [F.desc_nulls_first("timestamp"), F.asc("_good")], F.when(F.col("_good") == 1, F.col("timestamp"))
+    if path:
+        both = scans.running_min(bad.unionByName(good), keys, order, success, "resolved_at", path)
+    else:
+        later = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        both = bad.unionByName(good).withColumn("resolved_at", F.min(success).over(later))
     rows = both.where("_good = 0").select(*keys, "timestamp", *(F.col(f"_row.{c}").alias(c) for c in columns), "resolved_at")
     return rows.withColumn("status", F.when(F.col("resolved_at").isNotNull(), "RESOLVED").otherwise("FAILURE"))
 

@@ -496,6 +496,30 @@ def status_transitions(spark, sf_dir):
     return history.status_changes(table(spark, sf_dir, "events"), ["user_id"], "ts", "event_type", ["event_id"]).select("event_id", "user_id", "previous", "event_type")
 
 
+HOT = "(SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS job, event_type FROM events)"
+
+
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by job, of which one has a third of all rows."""
+    return table(spark, sf_dir, "events").select("event_id", "ts", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("job"), "event_type")
+
+
+@query(f"""SELECT event_id, job, ts AS timestamp, least_later AS resolved_at, CASE WHEN least_later IS NULL THEN 'FAILURE' ELSE 'RESOLVED' END AS status FROM (
+ SELECT *, min(ts) FILTER (WHERE event_type = 'purchase') OVER (PARTITION BY job ORDER BY epoch_us(ts) RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS least_later FROM {HOT} WHERE event_type IN ('error', 'purchase'))
+ WHERE event_type = 'error'""")
+def hot_job_resolved(spark, sf_dir):
+    """Failures with their resolutions where one job has a third of all rows, which lie in several splits."""
+    e = _hot(spark, sf_dir).withColumnRenamed("ts", "timestamp")
+    found = history.resolve_alerts(e.where("event_type = 'error'").drop("event_type"), e.where("event_type = 'purchase'").drop("event_type"), ["job"], scratch(spark, "resolve"))
+    return found.select("event_id", "job", "timestamp", "resolved_at", "status")
+
+
+@query(f"SELECT event_id, job, previous, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY job ORDER BY ts, event_id) AS previous FROM {HOT}) WHERE previous <> event_type")
+def hot_job_transitions(spark, sf_dir):
+    """Status changes where one job has a third of all rows, which lie in several splits."""
+    return history.status_changes(_hot(spark, sf_dir), ["job"], "ts", "event_type", ["event_id"], scratch(spark, "changes")).select("event_id", "job", "previous", "event_type")
+
+
 STATES = "(SELECT event_id, user_id, ts, CASE WHEN event_type = 'error' THEN 'FAILURE' WHEN event_type = 'purchase' THEN 'RESOLVED' ELSE 'STARTED' END AS status FROM events)"
 
 
