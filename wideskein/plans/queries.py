@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from wideskein.functions import filters, scalars
 from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling, wide_compare, wide_profile
 from wideskein.plans.telemetry import dirty, table, telemetry
-from wideskein.sources import readers, sinks
+from wideskein.sources import checksums, readers, sinks
 from wideskein.streaming import alerts, arrivals, progress
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -926,12 +926,31 @@ def write_metrics(spark, sf_dir):
     path, source = scratch(spark, "metrics"), f"{sf_dir}/lineitem.parquet"
     read = sinks.file_sizes(spark, source).agg(F.sum("bytes")).first()[0]
     made = sinks.observed_write(spark.read.parquet(source).repartition(3, "l_orderkey"), path, time.time(), time.time, read)
-    files = sinks.file_sizes(spark, path).join(sinks.file_checksums(spark, path), "file").where("bytes > 0 and length(sha256) = 64").select(F.regexp_extract("file", "[^/]+$", 0).alias("name"))
+    files = sinks.file_sizes(spark, path).join(checksums.file_checksums(spark, path), ["file", "bytes"]).where("bytes > 0 and length(sha256) = 64").select(F.regexp_extract("file", "[^/]+$", 0).alias("name"))
     rows = spark.read.parquet(path).select("l_quantity", F.col("_metadata.file_name").alias("name")).join(F.broadcast(files), "name")  # a row a file
     measured = made["bytes_in"] > 0 and made["bytes_out"] > 0 and abs(made["ratio"] - made["bytes_in"] / made["bytes_out"]) < 1e-9 and made["rows_per_s"] > 0
     return rows.agg(F.lit(made["rows"]).cast("long").alias("n_rows"), F.count(F.lit(1)).alias("rows_in_files"), F.sum(F.col("l_quantity").cast("decimal(28,6)")).cast("double").alias("total"), F.lit(measured).alias("measured"))
 
 
+LINES = "(SELECT event_id // 2000 AS part, CAST(event_id AS VARCHAR) || ' ' || event_type || ' ' || CAST(user_id AS VARCHAR) || chr(10) AS line, event_id FROM events)"
+
+
+@query(f"""WITH files AS (SELECT part, string_agg(line, '' ORDER BY event_id) AS content FROM {LINES} GROUP BY 1),
+ leaves AS (SELECT part, i, sha256(substr(content, CAST(i * 4096 + 1 AS BIGINT), 4096)) AS digest FROM files, LATERAL (SELECT unnest(range(0, greatest(1, (length(content) + 4095) // 4096))) AS i)),
+ one AS (SELECT part, i // 4 AS i, sha256(string_agg(digest, '' ORDER BY i)) AS digest, count(*) OVER (PARTITION BY part) AS width FROM leaves GROUP BY part, i // 4),
+ two AS (SELECT part, i // 4 AS i, CASE WHEN any_value(width) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY i)) END AS digest, count(*) OVER (PARTITION BY part) AS width FROM one GROUP BY part, i // 4),
+ three AS (SELECT part, CASE WHEN any_value(width) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY i)) END AS digest FROM two GROUP BY part)
+ SELECT CAST(part AS BIGINT) AS part, length(content) AS bytes, sha256(content) AS sha256, digest AS tree FROM files JOIN three USING (part)""")
+def checksum_trees(spark, sf_dir):
+    """Files of 2,000 lines, each with the digest of its bytes and the root of a tree over pieces of 4 KiB (three levels of four)."""
+    path = scratch(spark, "lines")
+    e = table(spark, sf_dir, "events").select((F.col("event_id") / 2000).cast("long").alias("part"), "event_id", F.concat_ws(" ", "event_id", "event_type", "user_id").alias("value"))
+    e.repartition("part").sortWithinPartitions("part", "event_id").drop("event_id").write.partitionBy("part").text(path)
+    trees = checksums.file_trees(spark, path, 4096, 4).withColumnRenamed("digest", "tree")
+    both = checksums.file_checksums(spark, path).join(trees, ["file", "bytes"])
+    return both.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "bytes", "sha256", "tree")
+
+
 @query("""SELECT '1.0' AS pipeline_version, 'r1' AS revision, 'a, b' AS batches, 'events' AS path, count(*) AS row_count,
  sha256('{"col_sum":[' || CAST(CAST(round(sum(CAST(value AS DECIMAL(28,6))), 4) AS DECIMAL(38,4)) AS VARCHAR) || '],"row_count":' || CAST(count(*) AS VARCHAR) || '}') AS content_fingerprint FROM events""")
 def lineage_row(spark, sf_dir):

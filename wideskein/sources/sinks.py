@@ -183,9 +183,3 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """file and bytes of every file behind a path, from metadata alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
-
-
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """file and SHA-256 of its bytes, one task per file (files of up to about 2 GB)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.col("path").alias("file"), F.sha2("content", 256).alias("sha256"))
