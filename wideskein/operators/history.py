@@ -40,10 +40,10 @@ def alert_changes(df: DataFrame, keys: Sequence[str], seen: str, status: str = "
     return changes.where((F.col(status) == "FAILURE") | ((F.col("previous") == "FAILURE") & (F.col(status) == "RESOLVED")))
 
 
-def append_newest(spark: SparkSession, rows: DataFrame, path: str, time: str, ties: Sequence[str], keep: int = 500) -> DataFrame:
-    """Add ``rows`` to the table at ``path`` and keep its newest ``keep``; the table as it is then."""
+def append_newest(spark: SparkSession, rows: DataFrame, path: str, time: str, ties: Sequence[str], keep: int = 500, versions: int = 10) -> DataFrame:
+    """Add ``rows`` to the table at ``path`` and keep its newest ``keep``; the table as it is then, of which the newest ``versions`` stay."""
     held = read_version(spark, path, rows.schema)
-    return replace_version(spark, keep_newest(rows if held is None else held.unionByName(rows), time, ties, keep), path)
+    return replace_version(spark, keep_newest(rows if held is None else held.unionByName(rows), time, ties, keep), path, versions)
 
 
 def status_counts(df: DataFrame, status: str = "status") -> DataFrame:

@@ -573,6 +573,22 @@ def alert_stream_keyed(spark, sf_dir):
     return spark.read.schema(found.schema).parquet(f"{base}/out")
 
 
+@query(f"""SELECT user_id, status, ts FROM (SELECT user_id, max(ts) AS ts, arg_max(status, struct_pack(ts := ts, event_id := event_id)) AS status FROM {STATES} GROUP BY 1)""")
+def versioned_state(spark, sf_dir):
+    """The last status of every user, kept as a table of which each week's rows make a new version, of which two stay; a version that was written but not committed is passed over."""
+    path, rows = scratch(spark, "state"), _states(spark, sf_dir)
+    row = F.struct("ts", "event_id", "status")
+    schema = rows.select("user_id", row.alias("top")).schema
+    weeks = [None, *(datetime(2024, 1, d) for d in (8, 15, 22)), None]
+    for low, high in zip(weeks, weeks[1:]):
+        part = rows.where((F.lit(True) if low is None else F.col("ts") >= low) & (F.lit(True) if high is None else F.col("ts") < high))
+        known = sinks.read_version(spark, path, schema)
+        new = part.select("user_id", row.alias("top"))
+        sinks.replace_version(spark, (new if known is None else known.unionByName(new)).groupBy("user_id").agg(F.max("top").alias("top")), path, keep=2)
+    rows.limit(1).select("user_id", row.alias("top")).write.parquet(f"{path}/version=99")
+    return sinks.read_version(spark, path, schema).select("user_id", "top.status", "top.ts")
+
+
 @query("SELECT o_orderstatus, count(*) AS n_rows FROM orders GROUP BY 1 ORDER BY 2 DESC")
 def status_counts(spark, sf_dir):
     return history.status_counts(table(spark, sf_dir, "orders"), "o_orderstatus").orderBy(F.desc("n_rows"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,27 +44,53 @@ def read_days(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).withColumn("flight_id", F.coalesce("flight_id", F.lit("")))
 
 
-def read_version(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The newest version of a table of :func:`replace_version`; none if there is none."""
+def _committed(spark: SparkSession, path: str) -> int:
+    """The newest committed version of the table at ``path``; 0 without one."""
     try:
-        versions = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0]
+        return spark.read.schema("version int").json(f"{path}/commits").agg(F.max("version")).first()[0] or 0
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return None if versions is None else spark.read.schema(schema).parquet(f"{path}/version={versions}")
+        return 0
 
 
-def replace_version(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write ``df``, which may be made of the table's newest version, as its next one. Readers of the old version go on undisturbed."""
-    try:
-        last = spark.read.schema("version int").parquet(path).agg(F.max("version")).first()[0] or 0
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0
-    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/version={last + 1}")
-    return spark.read.schema(df.schema).parquet(f"{path}/version={last + 1}")
+def read_version(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The newest committed version of a table of :func:`replace_version`; none if there is none."""
+    newest = _committed(spark, path)
+    return spark.read.schema(schema).parquet(f"{path}/version={newest}") if newest else None
+
+
+def replace_version(spark: SparkSession, df: DataFrame, path: str, keep: int | None = None) -> DataFrame:
+    """Write ``df``, which may be made of the table's newest version, as its next one, and commit it. One writer at a time.
+
+    A version counts once its commit, a row of its own in ``commits``, is there: what a writer that failed halfway left is never read,
+    and the next one overwrites it. Readers of an older version go on undisturbed while it is kept: all of them, or the newest
+    ``keep`` (:func:`vacuum`).
+    """
+    number = _committed(spark, path) + 1
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/version={number}")
+    spark.createDataFrame([(number,)], "version int").coalesce(1).write.mode("overwrite").json(f"{path}/commits/number={number}")
+    if keep is not None:
+        vacuum(path, keep)
+    return spark.read.schema(df.schema).parquet(f"{path}/version={number}")
+
+
+def vacuum(path: str, keep: int = 2) -> list[int]:
+    """Remove all but the newest ``keep`` committed versions of a table of :func:`replace_version`; which went.
+
+    Commits go before data, so that a version without all its files is never the one that is read. A second run ends what one that failed began.
+    """
+    if keep < 1:
+        raise ValueError("the newest version stays")
+    fs, root = FileSystem.from_uri(path if path.startswith("/") else quote(path, safe=":/@"))
+    numbers = lambda folder, name: {int(f.base_name.removeprefix(name)): f.path for f in fs.get_file_info(FileSelector(folder, allow_not_found=True)) if f.type == FileType.Directory and f.base_name.startswith(name)}
+    commits, data = numbers(f"{root}/commits", "number="), numbers(root, "version=")
+    stay = sorted(commits)[-keep:]
+    old = lambda n: bool(stay) and n < stay[0]
+    for found in (commits, data):
+        for n in filter(old, found):
+            fs.delete_dir(found[n])
+    return sorted(filter(old, data))
 
 
 def ensure_table(spark: SparkSession, name: str, columns: str) -> None:

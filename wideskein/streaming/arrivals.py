@@ -87,11 +87,11 @@ def without_repeats(stream: DataFrame, keys: list[str], delay: str = "1 day") ->
     return stream.withWatermark("time", delay).dropDuplicatesWithinWatermark(keys)
 
 
-def new_alerts(spark: SparkSession, batch: DataFrame, state_path: str, keys: list[str]) -> DataFrame:
+def new_alerts(spark: SparkSession, batch: DataFrame, state_path: str, keys: list[str], keep: int = 10) -> DataFrame:
     """Alerts of a batch that are new: a FAILURE where the last status seen of the key is another or none, and a FAILURE that is RESOLVED.
 
     The last status of every key is a table; this batch's becomes its next version, once the changes are written
-    beside it, so a batch that fails halfway is done anew against the old one.
+    beside it, so a batch that fails halfway is done anew against the old one. The newest ``keep`` versions stay.
     """
     latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*(c for c in batch.columns if c not in keys)), "timestamp").alias("row")).select(*keys, "row.*")
     schema = StructType([*(batch.schema[k] for k in keys), *StructType.fromDDL("status string").fields])
@@ -100,7 +100,7 @@ def new_alerts(spark: SparkSession, batch: DataFrame, state_path: str, keys: lis
         known = spark.createDataFrame([], schema)
     met = latest.join(known.withColumnRenamed("status", "known"), keys, "left")
     changed = met.where("status = 'FAILURE' and not (known <=> 'FAILURE') or status = 'RESOLVED' and known = 'FAILURE'")
-    changed = replace_version(spark, changed, f"{state_path}/changes")
+    changed = replace_version(spark, changed, f"{state_path}/changes", keep)
     now = known.join(latest.select(*keys), keys, "left_anti").unionByName(latest.select(*keys, "status"))
-    replace_version(spark, now, f"{state_path}/last")
+    replace_version(spark, now, f"{state_path}/last", keep)
     return changed
