@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wideskein.functions import filters, scalars
+from wideskein.functions import filters, scalars, variants
 from wideskein.operators import browse, cleaning, history, profiling, quality, reconciling, wide_compare, wide_profile
 from wideskein.plans.telemetry import dirty, table, telemetry
 from wideskein.sources import checksums, readers, sinks
@@ -206,6 +206,23 @@ def metadata_explode(spark, sf_dir):
     return history.metadata_fields(table(spark, sf_dir, "events").where("get_json_object(props, '$.k') is not null"), "event_id", "props")
 
 
+@query("""WITH e AS (SELECT event_id, event_type, user_id, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+ SELECT event_id, 'rows' AS field, 'int' AS kind, user_id AS int_value, NULL::DOUBLE AS float_value, NULL::BOOLEAN AS bool_value, NULL AS text, NULL AS json FROM e
+ UNION ALL SELECT event_id, 'value', CASE WHEN value IS NULL THEN 'null' ELSE 'float' END, NULL, value, NULL, NULL, NULL FROM e
+ UNION ALL SELECT event_id, 'even', 'bool', NULL, NULL, event_id % 2 = 0, NULL, NULL FROM e
+ UNION ALL SELECT event_id, 'class', CASE WHEN event_type IS NULL THEN 'null' ELSE 'text' END, NULL, NULL, NULL, event_type, NULL FROM e
+ UNION ALL SELECT event_id, 'props', CASE WHEN k IS NULL THEN 'null' ELSE 'json' END, NULL, NULL, NULL, NULL, '{"k":' || CAST(k AS VARCHAR) || '}' FROM e""")
+def metadata_typed(spark, sf_dir):
+    """Metadata entries of every event as VARIANT objects, written, read and taken apart with the types they had."""
+    path, e = scratch(spark, "variants"), table(spark, sf_dir, "events")
+    kinds = {"text": "string", "int_value": "bigint", "float_value": "double", "bool_value": "boolean", "json": "string"}
+    entry = lambda label, name, value: F.struct(F.lit(label).alias("label"), *((value if n == name else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()))
+    base = variants.entries_to_variants(F.array(entry("rows", "int_value", F.col("user_id")), entry("value", "float_value", F.col("value")), entry("class", "text", F.lit("hidden")), entry("class", "text", F.col("event_type"))))
+    more = variants.entries_to_variants(F.array(entry("even", "bool_value", F.col("event_id") % 2 == 0), entry("rows", "text", F.lit("hidden")), entry("props", "json", F.col("props"))))
+    sinks.write_columnar(e.select("event_id", variants.overlay(base, more).alias("metadata")), path)
+    return variants.typed_fields(spark.read.parquet(path), "event_id", "metadata")
+
+
 @query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '{"k":' || json_extract_string(props, '$.k') || '}' ELSE 'raw ' || CAST(event_id AS VARCHAR) END AS meta,
  'base' AS k, event_type AS extra FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
 def metadata_overlay(spark, sf_dir):
