@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on small tables full of odd rows."""
 
 import hashlib
+import math
 import os
 import re
 import zlib
@@ -215,6 +216,95 @@ def test_language_id(spark):
     assert by[1003].lang_pred == "xx" and by[None].lang_pred == "yy" and all(0 <= o.score <= 1 for o in out)
 
 
+def brute_grams(text, dimensions):
+    """Features of all runs of one to three characters, one by one."""
+    clean, out = " " + re.sub(r"[\W\d_]+", " ", text.lower()) + " ", []
+    for width in (1, 2, 3):
+        for i in range(len(clean) - width + 1):
+            h = 0
+            for j in range(width):
+                h = (h + ord(clean[i + j]) + j + 1) * 2654435761 % 2**32
+                h ^= h >> 15
+            out.append(h % dimensions)
+    return out
+
+
+def test_language_scores_follow_from_counts_weights_and_temperature(spark, docs, rows, monkeypatch):
+    """TF-IDF, logits, temperature and probabilities again from plain counts; odd, long, repeated rows and extra columns among them."""
+    seen = {}
+
+    def learned(*args, made=langid.ftrl):
+        seen["w"] = made(*args)
+        return seen["w"]
+
+    def cooled(logits, labels, made=langid.temperature):
+        seen["t"], seen["checks"] = made(logits, labels), (logits, labels)
+        return seen["t"]
+
+    monkeypatch.setattr(langid, "ftrl", learned)
+    monkeypatch.setattr(langid, "temperature", cooled)
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 0
+    trainable = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) != 0
+    model = langid.fit(docs, trainable, dimensions=512)
+    got = Counter((r.doc_id, r.lang_pred, round(r.score, 4)) for r in langid.predict(docs, model).collect())
+    w, t = seen["w"], seen["t"]
+    train = [x for d, x, lang, *_ in rows if x is not None and lang is not None and not held(d)]
+    present = Counter(f for x in train for f in set(brute_grams(x, 512)))
+    idf = [math.log((1 + len(train)) / (1 + present[f])) + 1 for f in range(512)]
+    languages = sorted({lang for d, x, lang, *_ in rows if x is not None and lang is not None and not held(d)})
+    want = []
+    for d, x, *_ in rows:
+        if not x or not any(c.isalpha() for c in x):
+            want.append((d, {"und": 0.0}))
+            continue
+        grams = Counter(brute_grams(x, 512))
+        logits = [(w[512, c] + sum(n / grams.total() * idf[f] * 20 * w[f, c] for f, n in grams.items())) / t for c in range(len(languages))]
+        odds = [math.exp(z - max(logits)) for z in logits]
+        want.append((d, {lang: o / sum(odds) for lang, o in zip(languages, odds, strict=True)}))
+    left = Counter(got)
+    for d, p in want:
+        best = max(p.values())
+        hit = next(k for k in left if left[k] and k[0] == d and abs(k[2] - best) < 2e-3 and p.get(k[1], -1) > best - 2e-3)
+        left[hit] -= 1
+    assert not +left and len(model.languages) == len(languages)
+    logits, labels = seen["checks"]
+    assert len(labels) >= 10
+
+    def loss(x):
+        z = logits / x
+        z = z - z.max(axis=1, keepdims=True)
+        return -(z[np.arange(len(labels)), labels] - np.log(np.exp(z).sum(axis=1))).mean()
+
+    assert loss(t) <= min(loss(x) for x in np.geomspace(0.05, 20, 400)) + 1e-6
+
+
+def test_ftrl_equals_a_scalar_form():
+    rng = np.random.default_rng(2)
+    rows = [(int(rng.integers(3)), np.sort(rng.choice(9, 3, replace=False)), rng.random(3)) for _ in range(40)]
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.1
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f, c):
+        if abs(z[f, c]) <= l1:
+            return 0.0
+        return -(z[f, c] - math.copysign(l1, z[f, c])) / ((beta + math.sqrt(n[f, c])) / alpha + l2)
+
+    order = np.random.default_rng(11)
+    for _ in range(4):
+        for i in order.permutation(len(rows)):
+            label, at, x = rows[i]
+            features = [*zip(at.tolist(), x.tolist(), strict=True), (9, 1.0)]
+            before = {(f, c): weight(f, c) for f, _ in features for c in range(3)}
+            odds = [math.exp(sum(v * before[f, c] for f, v in features)) for c in range(3)]
+            for f, v in features:
+                for c in range(3):
+                    g = v * (odds[c] / sum(odds) - (c == label))
+                    sigma = (math.sqrt(n[f, c] + g * g) - math.sqrt(n[f, c])) / alpha
+                    z[f, c] += g - sigma * before[f, c]
+                    n[f, c] += g * g
+    assert np.allclose(langid.ftrl(rows, 9, 3), [[weight(f, c) for c in range(3)] for f in range(10)])
+
+
 def test_language_id_without_labels(spark):
     out = langid.identify(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()
     assert [(o.lang_pred, o.score) for o in out] == [("und", 0.0)]
@@ -535,6 +625,19 @@ def test_toxicity_without_labels(spark, docs):
     assert not any(r.toxic for r in toxicity.score(docs, model).collect())
 
 
+def test_toxic_documents_with_held_out_labels_are_found(spark):
+    """The tables' labels: learned from four fifths of them, held to the rest."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.exists(folder):
+        pytest.skip("test tables are not here")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where("doc_id % 5 <> 0"))
+    found = toxicity.score(docs, model).join(labels.where("doc_id % 5 = 0 and toxic is not null").select("doc_id", F.col("toxic").alias("truth")), "doc_id")
+    n = Counter((r.truth, r.toxic) for r in found.select("truth", "toxic").collect())
+    assert n[1, True] + n[1, False] >= 50 and n[1, True] >= 0.9 * (n[1, True] + n[1, False])
+    assert n[0, True] <= 0.01 * (n[0, True] + n[0, False])
+
+
 # 9
 
 
@@ -552,6 +655,16 @@ def test_apportionment():
     assert fill[0] == 20 and abs(fill[1] - 145) < 1e-9 and fill[2] == 0
 
 
+def level_targets(sizes):
+    """Targets by a water level found by halving: 5, 2, 1 times the level, twice the size at most, 150 % of all sizes together."""
+    weights, low, high = [[5, 2, 1][i % 3] for i in range(len(sizes))], 0.0, 4.0 * sum(sizes) + 1
+    at = lambda level: [min(2.0 * s, level * w) for s, w in zip(sizes, weights, strict=True)]
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if sum(at(middle)) < 1.5 * sum(sizes) else (low, middle)
+    return at(high)
+
+
 def test_mix_plan(spark, docs, rows):
     plan = mixing.mix_plan(docs).collect()
     sizes = Counter()
@@ -559,7 +672,7 @@ def test_mix_plan(spark, docs, rows):
         sizes[s] += len(words(t))
     assert Counter((r.doc_id, r["size"]) for r in plan) == Counter((d, len(words(t))) for d, t, *_ in rows)
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    targets = dict(zip(order, mixing.water_fill([sizes[s] for s in order], [[5, 2, 1][i % 3] for i in range(len(order))], 1.5 * sum(sizes.values())), strict=True))
+    targets = dict(zip(order, level_targets([sizes[s] for s in order]), strict=True))
     taken = Counter()
     for r in plan:
         assert 0 <= r.taken <= 2 * r["size"] and r.source_size == sizes[r.source] and abs(r.target - targets[r.source]) < 1e-6
