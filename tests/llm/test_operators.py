@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections import Counter, defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from wideskein.llm import components, exact_dedup, langid, mixing, near_copies, packing, recompression, secrets, sharding, simhash, sketches, toxicity
-from wideskein.llm.common import bucket_count, gapless_position, running_total
+from wideskein.llm.common import bucket_count, cut, gapless_position, passing, running_total
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -40,6 +41,17 @@ def test_bucketed_positions_and_totals(spark):
 # 1
 
 
+def test_passing_tables_belong_to_their_thread_and_go_after_an_error(spark):
+    alive = lambda table: os.path.exists(table.inputFiles()[0].removeprefix("file://"))
+    with ThreadPoolExecutor(1) as other, pytest.raises(KeyError):
+        with passing(spark):
+            mine, kept = cut(spark.range(3), "mine"), cut(spark.range(3), "kept", keep=True)
+            theirs = other.submit(cut, spark.range(3), "theirs").result()
+            files = mine.inputFiles()
+            raise KeyError
+    assert not os.path.exists(files[0].removeprefix("file://")) and alive(theirs) and alive(kept)
+
+
 def test_knapsack_and_columns_reach_the_bound():
     values, sizes = np.array([1.0, 2.5, 4.0]), np.array([2, 3, 5])
     worth, patterns = packing.best_patterns(values, sizes, 11)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -25,8 +26,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-#: Tables written within each open :func:`passing` block.
-_passing: list[list[DataFrame]] = []
+#: Tables written within each open :func:`passing` block of this thread, as ``blocks``.
+_passing = threading.local()
+
+
+def _tables_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/wideskein/{spark.sparkContext.applicationId}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Remove all tables that :func:`cut` wrote for this application. Its owner calls it once no result that reads them is needed."""
+    _remove(spark, _tables_dir(spark))
 
 
 def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -35,26 +50,27 @@ def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     Within :func:`passing` the table is removed at the end of the block, unless it is to ``keep``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/wideskein/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
-    if _passing and not keep:
-        _passing[-1].append(table)
+    blocks = getattr(_passing, "blocks", None)
+    if blocks and not keep:
+        blocks[-1].append(table)
     return table
 
 
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[list[DataFrame]]:
-    """Tables that are :func:`cut` inside, and those added to the list, are removed at the end: their readers have run by then."""
-    _passing.append([])
+    """Tables that this thread writes by :func:`cut` inside, and those added to the list, are removed at the end, also after an error: their readers have run by then."""
+    blocks = _passing.__dict__.setdefault("blocks", [])
+    tables: list[DataFrame] = []
+    blocks.append(tables)
     try:
-        yield _passing[-1]
-        for table in _passing[-1]:
-            for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        yield tables
     finally:
-        _passing.pop()
+        blocks.pop()
+        for folder in {f.rsplit("/", 1)[0] for table in tables for f in table.inputFiles()}:
+            _remove(spark, folder)
 
 
 def text_or_empty(column: str = "text") -> Column:
