@@ -31,9 +31,12 @@ def partition_date(name: Column, first_time: Column, modified: Column) -> Column
     return F.coalesce(date_in_name(name), F.to_date(first_time), F.to_date(modified))
 
 
-def epoch_to_time(value: Column) -> Column:
-    """Seconds since 1970, or milliseconds for values over 1e10."""
-    return F.when(value > 1e10, F.timestamp_millis(value.cast("long"))).otherwise(F.timestamp_seconds(value))
+def epoch_to_time(value: Column, unit: str | None = None) -> Column:
+    """Seconds since 1970, or milliseconds for values over 1e10; a known ``unit``, ``s`` or ``ms``, holds for all values."""
+    if unit not in (None, "s", "ms"):
+        raise ValueError(f"unknown unit {unit!r}")
+    seconds, millis = F.timestamp_seconds(value), F.timestamp_millis(value.cast("long"))
+    return {"s": seconds, "ms": millis}.get(unit, F.when(value > 1e10, millis).otherwise(seconds))
 
 
 def month_key(time: Column) -> Column:

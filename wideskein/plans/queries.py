@@ -183,8 +183,9 @@ def cast_all(spark, sf_dir):
 
 @query("""SELECT event_id, to_timestamp(CAST(event_id * 86400 + 1700000000 AS DOUBLE))::TIMESTAMP AS as_seconds, make_timestamp((event_id + 1700000000000) * 1000) AS as_millis FROM events""")
 def epoch_convert(spark, sf_dir):
+    """Days as seconds, which pass 1e10 from event 96,065 on, so their unit is told; milliseconds are known by their size."""
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", scalars.epoch_to_time((F.col("event_id") * 86400 + 1700000000).cast("double")).alias("as_seconds"), scalars.epoch_to_time((F.col("event_id") + 1700000000000).cast("double")).alias("as_millis"))
+    return e.select("event_id", scalars.epoch_to_time((F.col("event_id") * 86400 + 1700000000).cast("double"), "s").alias("as_seconds"), scalars.epoch_to_time((F.col("event_id") + 1700000000000).cast("double")).alias("as_millis"))
 
 
 @query("""SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN CAST(ts AS DATE) WHEN event_id % 3 = 1 THEN CAST(ts AS DATE) + 1 ELSE DATE '2026-02-03' END AS VARCHAR) AS day,
