@@ -162,3 +162,32 @@ def test_timed_trigger_polls_until_it_is_stopped(spark, tmp_path):
     finally:
         query.stop()
     assert sorted(r.flight_id for r in arrivals.settled(spark, f"{base}/table", rows.schema, ["flight_id", "time"]).collect()) == ["001", "002"]
+
+
+def test_keyed_alerts_of_many_keys_in_one_batch(spark, tmp_path):
+    rows = [(f"j{i}", "s" if i % 3 else None, ["FAILURE", "RESOLVED", "STARTED"][(i + n * (i % 5)) % 3], n // 2) for i in range(3000) for n in range(8)]
+    statuses(spark, rows).repartition(4).write.parquet(f"{tmp_path}/in")
+    outputs = {}
+    stream = spark.readStream.schema(STATUSES).parquet(f"{tmp_path}/in")
+    keep = lambda batch, number: outputs.update({number: sorted(((r.job, r.step, int(r.timestamp.timestamp()) - 1700000000, r.status, r.known) for r in batch.collect()), key=str)})
+    alerts.alert_stream(stream, ["job", "step"]).writeStream.foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert list(outputs) == [0] and outputs[0] == alerts_of(rows)
+
+
+def test_arriving_statuses_are_written_by_as_many_tasks_as_read_them(spark, tmp_path):
+    """The query's input files grow with the table; before, two tasks wrote them all."""
+    from wideskein.plans import queries as plans
+
+    spark.sql("SELECT id AS event_id, timestamp'2024-01-03 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts, id % 7 AS user_id, 'error' AS event_type FROM range(900)").repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    made = plans.scratch
+    try:
+        plans.scratch = lambda spark, name: str(tmp_path / name)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert plans.queries()["alert_stream_keyed"](spark, str(tmp_path)).count() == 7
+    finally:
+        plans.scratch = made
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "alert-stream" / "in").glob("part-*"))) > 4

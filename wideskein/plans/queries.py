@@ -585,7 +585,7 @@ def alert_stream_keyed(spark, sf_dir):
     late = rows.where("timestamp < timestamp'2024-01-10'").withColumn("status", F.lit("FAILURE"))
     parts = [rows.where("timestamp < timestamp'2024-01-15'"), rows.where("timestamp >= timestamp'2024-01-15'").unionByName(late)]
     for part in parts:
-        part.coalesce(2).write.mode("append").parquet(f"{base}/in")
+        part.write.mode("append").parquet(f"{base}/in")
         found = alerts.alert_stream(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), ["user_id"])
         found.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(found.schema).parquet(f"{base}/out")
@@ -896,7 +896,10 @@ CALENDAR = ("2024-01-02", "2024-12-31")
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Files arrive in three steps, the first once more under another name with other altitudes; rows before the calendar go to quarantine."""
+    """Files arrive in three steps, the first once more under another name with other altitudes; rows before the calendar go to quarantine.
+
+    A step has as many files as its scan has tasks, up to the hundred that a batch takes.
+    """
     base = scratch(spark, "stream")
     rows = _by_class(spark, sf_dir)
     log = progress.BatchLog(spark, f"{base}/log")
@@ -948,7 +951,7 @@ def stream_quarantine(spark, sf_dir):
 def stream_without_repeats(spark, sf_dir):
     """Every row delivered twice, within the watermark, comes out once."""
     base, rows = scratch(spark, "again"), telemetry(spark, sf_dir).select("event_id", F.col("time").cast("timestamp").alias("time"), "class")
-    rows.unionByName(rows).coalesce(4).write.parquet(f"{base}/in")
+    rows.unionByName(rows).write.parquet(f"{base}/in")
     stream = arrivals.without_repeats(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), ["event_id"], "40 days")
     stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{base}/out")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +33,22 @@ def alert_stream(statuses: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     def step(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = tuple(state.get) if state.exists else None
-        rows = pd.concat([f.drop_duplicates(["seen", "status"]) for f in frames]).drop_duplicates(["seen", "status"]).sort_values(["seen", "status"])
+        seen, status = (np.concatenate(c) for c in zip(*((f["seen"].to_numpy(), f["status"].to_numpy()) for f in frames), strict=True))
+        kinds, kind = np.unique(status, return_inverse=True)
+        order = np.lexsort((kind, seen))
+        seen, kind = seen[order], kind[order]
+        new = np.append(True, (seen[1:] != seen[:-1]) | (kind[1:] != kind[:-1]))
         if last:
-            rows = rows[(rows["seen"] > last[0]) | ((rows["seen"] == last[0]) & (rows["status"] > last[1]))]
-        if rows.empty:
+            new &= (seen > last[0]) | ((seen == last[0]) & (kinds > last[1])[kind])
+        if not new.any():
             return
-        rows = rows.assign(known=[last[1] if last else None, *rows["status"].iloc[:-1]])
-        state.update((int(rows["seen"].iloc[-1]), str(rows["status"].iloc[-1])))
-        fails, ends = rows["status"] == FAILED, rows["status"] == RESOLVED
-        yield rows[(fails & (rows["known"] != FAILED)) | (ends & (rows["known"] == FAILED))][names]
+        seen, status = seen[new], kinds[kind[new]]
+        known = np.append(np.array([last[1] if last else None], dtype=object), status[:-1])
+        state.update((int(seen[-1]), str(status[-1])))
+        alerts = np.flatnonzero(((status == FAILED) & (known != FAILED)) | ((status == RESOLVED) & (known == FAILED)))
+        if len(alerts):
+            own = {k: pd.Series([v] * len(alerts), dtype=None if v is not None else object) for k, v in zip(keys, key, strict=True)}
+            yield pd.DataFrame({**own, "seen": seen[alerts], "status": status[alerts], "known": known[alerts]})[names]
 
     found = narrow.groupBy(*keys).applyInPandasWithState(step, out, kept, "append", GroupStateTimeout.NoTimeout)
     return found.select(*keys, F.timestamp_micros("seen").alias("timestamp"), "status", "known")
