@@ -4,6 +4,7 @@ import hashlib
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from wideskein.sources import checksums
 
@@ -64,3 +65,29 @@ def test_a_file_of_over_two_gigabytes(spark, tmp_path, tmp_path_factory):
         f.seek(20 * (64 << 20) + 77)
         f.write(b"x")
     assert [r.number for r in checksums.damaged(kept, checksums.file_pieces(spark, str(tmp_path))).collect()] == [20]
+
+
+def test_many_files_are_digested_by_many_tasks(spark, tmp_path):
+    """Before, Spark put the short rows that name the files into one task, which read all files."""
+    spark.range(800).repartition(8).write.parquet(f"{tmp_path}/some")
+    some = F.spark_partition_id().alias("task")
+    assert checksums.file_checksums(spark, f"{tmp_path}/some").select("file", some).distinct().count() == 8
+    assert checksums.file_checksums(spark, f"{tmp_path}/some").select(some).distinct().count() > 1
+    assert checksums.file_pieces(spark, f"{tmp_path}/some", 256).select(some).distinct().count() > 8
+
+
+def test_written_files_grow_in_number_not_in_size(spark, tmp_path):
+    """Before, three tasks wrote a table of any size."""
+    from wideskein.plans import queries as plans
+
+    spark.range(60_000).selectExpr("id as l_orderkey", "cast(id % 50 as double) as l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    held, made = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"), plans.scratch
+    try:
+        plans.scratch = lambda spark, name: str(tmp_path / name)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+        row = plans.queries()["write_metrics"](spark, str(tmp_path)).first()
+    finally:
+        plans.scratch = made
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", held)
+    assert (row.n_rows, row.rows_in_files, row.total, row.measured) == (60_000, 60_000, 1_470_000.0, True)
+    assert len(list((tmp_path / "metrics").glob("part-*"))) > 3

@@ -14,6 +14,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 #: Bytes held at a time.
 STEP = 4 << 20
+#: Tasks that pieces of files are dealt to.
+MOST_TASKS = 10_000
 _DIGEST = hashlib.sha256
 
 
@@ -47,10 +49,15 @@ def _digests(pieces: DataFrame) -> DataFrame:
     return pieces.mapInArrow(run, schema)
 
 
+def _shared_out(pieces: DataFrame) -> DataFrame:
+    """A task for every piece, ``MOST_TASKS`` at most: told by number, as Spark would put so few and short rows into one task."""
+    return pieces.repartition(min(max(pieces.count(), 1), MOST_TASKS))
+
+
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
     """file, bytes and the SHA-256 of all its bytes: what common tools print. One task streams a file, however large; empty files aren't listed."""
     whole = _files(spark, path).select("file", "bytes", F.lit(0).cast("long").alias("at"), F.col("bytes").alias("size"))
-    return _digests(whole.repartition(F.col("file"))).select("file", "bytes", F.col("digest").alias("sha256"))
+    return _digests(_shared_out(whole)).select("file", "bytes", F.col("digest").alias("sha256"))
 
 
 def file_pieces(spark: SparkSession, path: str, piece: int = 64 << 20) -> DataFrame:
@@ -60,7 +67,7 @@ def file_pieces(spark: SparkSession, path: str, piece: int = 64 << 20) -> DataFr
     pieces = files.select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("number"))
     at = F.col("number") * F.lit(piece).cast("long")
     cut = pieces.select("file", "bytes", "number", at.alias("at"), F.least(F.lit(piece).cast("long"), F.col("bytes") - at).alias("size"))
-    return _digests(cut.repartition(F.col("file"), F.col("number"))).drop("at", "size")
+    return _digests(_shared_out(cut)).drop("at", "size")
 
 
 def file_trees(spark: SparkSession, path: str, piece: int = 64 << 20, fan: int = 1024) -> DataFrame:

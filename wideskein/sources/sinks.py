@@ -184,7 +184,7 @@ def zstd_copies(spark: SparkSession, path: str, into: str, level: int = 3) -> in
             yield batch
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    return files.repartition(F.col("path")).mapInArrow(run, "path string").count()
+    return files.repartition(min(max(files.count(), 1), 10_000)).mapInArrow(run, "path string").count()
 
 
 def write_report(df: DataFrame, path: str) -> None:
