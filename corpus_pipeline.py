@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wideskein.llm import exact_dedup, mixing, near_copies, packing, toxicity
+from wideskein.llm import exact_dedup, mixing, near_copies, packing, simhash, toxicity
 from wideskein.llm.common import cut, small_batches
 
 
@@ -32,13 +32,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, likeness 0.8 or more) stays, the one with the smallest doc_id.
+    """One document of each group of near copies stays, the one with the smallest doc_id.
 
-    The stage has the name of the SimHash operator, but no SimHash in it: MinHash bands propose and whole sets decide, as
-    fingerprints of such pairs lie further apart than the three bits that operator links by.
+    SimHash links texts whose fingerprints differ in three bits at most, as the operator does. Texts whose lower-cased five-word
+    shingles have a likeness of 0.8 or more can lie further apart; MinHash bands and whole sets link those too. Groups are
+    what either kind of link connects.
     """
     small_batches(spark)
-    return near_copies.keep_one(docs)
+    return near_copies.keep_one(docs, more=simhash.text_links(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,3 +173,21 @@ def test_exact_copies_are_decided_in_narrow_rows(spark, monkeypatch, limit):
     for d, t in rows:
         best[t or ""] = max(best.get(t or "", -1), -1 if d is None else d)
     assert Counter((r.doc_id, r.text or "") for r in kept) == Counter((d if d >= 0 else None, t) for t, d in best.items())
+
+
+def test_the_pipeline_stage_follows_fingerprints_and_shingles(spark):
+    """Texts that SimHash links, though few of their shingles agree, and near copies that it does not link; a group is what both connect."""
+    import corpus_pipeline
+    from wideskein.llm import simhash
+
+    tail = lambda name: " ".join(f"{name}{i}" for i in range(12))
+    body = " ".join(f"w{i}" for i in range(60))
+    one, two = "ab cd ef " * 100 + tail("p"), "ab cd ef " * 100 + tail("q")
+    near = [body, body.replace("w30", "other")]
+    chain = ["gh ij kl " * 100 + tail("r"), "gh ij kl " * 100 + " ".join(f"s{i}" for i in range(60)), "gh ij kl " * 100 + " ".join(f"s{i}" for i in range(60)) + " s60"]
+    texts = [one, two, *near, *chain, "alone it stands here", None, " "]
+    bits = lambda a, b: (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count()
+    assert bits(one, two) <= 3 < bits(*near) and bits(*chain[:2]) <= 3
+    docs = spark.createDataFrame([(i + 1, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, "").collect()) == [1, 3, 5, 8, 9]

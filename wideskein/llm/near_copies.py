@@ -384,10 +384,11 @@ def links(docs: DataFrame, rule: Rule | None = None, short: int = SHORT, held: i
     return stars.unionByName(named).unionByName(searched)
 
 
-def keep_one(docs: DataFrame, rule: Rule | None = None, short: int = SHORT, held: int = HELD) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of near copies, the one with the smallest doc_id."""
+def keep_one(docs: DataFrame, rule: Rule | None = None, short: int = SHORT, held: int = HELD, more: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of near copies, the one with the smallest doc_id; ``more`` are further links (a, b: text hashes)."""
     rows = banded(docs, rule or Rule())
-    found = components(links(docs, rule, short, held, rows)).select(F.col("node").alias("text_hash"), F.col("root"))
+    near = links(docs, rule, short, held, rows)
+    found = components(near if more is None else near.unionByName(more)).select(F.col("node").alias("text_hash"), F.col("root"))
     grouped = rows.select("doc_id", "text_hash").join(found, "text_hash", "left").select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("group"))
     return keep_first(docs, grouped, BROADCAST_IDS, "near-decided")
 

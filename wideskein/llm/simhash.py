@@ -257,6 +257,19 @@ def near_duplicates(docs: DataFrame, dense: int = DENSE, hot_share: int = HOT_SH
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def text_links(docs: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) -> DataFrame:
+    """a, b: hashes of texts whose links connect them as the links of their fingerprints do; texts of one fingerprint are linked to the least of them."""
+    rows = cut(fingerprints(docs), "simhash-rows")
+    prints = cut(rows.groupBy("fp").agg(F.min("text_hash").alias("text"), F.max("text_hash").alias("last")), "simhash-prints")
+    shared = cut(prints.where("text < last").select("fp", F.col("text").alias("a")), "simhash-shared")
+    if shared.count() <= BROADCAST_IDS:
+        shared = F.broadcast(shared)
+    same = rows.join(shared, "fp").select("a", F.col("text_hash").alias("b")).where("a <> b").distinct()
+    named = lambda c: prints.select(F.col("fp").alias(c), F.col("text").alias(f"text_{c}"))
+    found = cut(links(prints.select("fp"), dense, hot_share), "simhash-links").join(named("a"), "a").join(named("b"), "b")
+    return same.unionByName(found.select(F.col("text_a").alias("a"), F.col("text_b").alias("b")))
+
+
 def keep_one(docs: DataFrame, dense: int = DENSE, hot_share: int = HOT_SHARE) -> DataFrame:
     """The rows of ``docs`` with one row of each group of near duplicates, the one with the smallest doc_id.
 
