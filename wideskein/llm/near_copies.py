@@ -301,24 +301,25 @@ def _leading(postings: DataFrame, members: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) that are linked: first by their signatures, then, of those, by their whole sets.
 
-    What stands for an ``a`` is copied once for every ``A_LEADER`` of its pairs, which so are dealt to as many keys.
+    What stands for an ``a`` is copied once for every ``A_LEADER`` of its pairs, which so are dealt to as many keys. It is what stands for
+    each ``b`` that goes to them, as there are few ``a``; only what is in a pair is sent.
     """
     pairs = cut(pairs, "near-pairs")
     often = cut(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / A_LEADER).cast("int").alias("salts")), "near-often")
     pairs = pairs.join(_sized(often), "a").select("a", "b", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"))
-    salted = often.select(F.col("a").alias("text_hash"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
 
     def beside(some: DataFrame, column: str) -> DataFrame:
-        of_a = salted.join(sets, "text_hash").select(F.col("text_hash").alias("a"), "salt", F.col(column).alias("of_a"))
-        of_b = sets.select(F.col("text_hash").alias("b"), F.col(column).alias("of_b"))
-        return some.join(of_a, ["a", "salt"]).join(of_b, "b")
+        of_b = _sized(some).join(sets.select(F.col("text_hash").alias("b"), F.col(column).alias("of_b")), "b")
+        keys = _sized(cut(some.select("a", "salt").distinct(), "near-salted"))
+        of_a = keys.join(sets.select(F.col("text_hash").alias("a"), F.col(column).alias("of_a")), "a")
+        return of_b.join(of_a, ["a", "salt"])
 
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for i in (3, 4))
             yield batch.select([0, 1, 2]).filter(pa.array((x == y).sum(axis=1) >= MATCH))
 
-    alike = beside(pairs, "signature").select("a", "b", "salt", "of_a", "of_b").mapInArrow(agree, "a long, b long, salt int")
+    alike = beside(cut(pairs, "near-dealt"), "signature").select("a", "b", "salt", "of_a", "of_b").mapInArrow(agree, "a long, b long, salt int")
     both = F.size(F.array_intersect("of_a", "of_b"))
     linked = 100 * both >= rule.percent * (F.size("of_a") + F.size("of_b") - both)
     return beside(cut(alike, "near-alike"), "found").where(linked).select("a", "b")
